@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from palisade.operators.delivery import DeliveryStore, message_id
 from palisade.operators.kslack import KSlack
+from palisade.operators.schema_drift import Projection, file_schemas, label_changes, message_changes, text_form
 from palisade.operators.sessions import SessionTable, clean_key, slots
 from palisade.operators.timestamps import USUAL, TimeDictionary, with_sensor_zone
 from palisade.storage import materialize, workspace
@@ -29,6 +30,28 @@ def bounds(df: DataFrame, column: Column) -> tuple[int, int]:
     return (0, 0) if low is None else (low, high)
 
 
+def _drift(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    intel = table(spark, sf_dir, "threatintel")
+    schemas = materialize(file_schemas(intel), workspace(spark, "schemas"))
+    return intel, schemas, message_changes(schemas)
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Layout changes between consecutive files of each stream."""
+    intel, _, changes = _drift(spark, sf_dir)
+    labels = label_changes(intel, "source_file", F.col("dataset"), "dataset", "renamed")
+    ts = label_changes(table(spark, sf_dir, "zeek_conn"), "log_file", text_form(F.col("ts")), "ts", "retyped")
+    intel_changes = changes.unionByName(labels).select(F.lit("threatintel").alias("src"), "*")
+    return intel_changes.unionByName(ts.select(F.lit("zeek_conn").alias("src"), "*")).distinct()
+
+
+def p1_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message read into one table by the compiled edit scripts."""
+    intel, schemas, changes = _drift(spark, sf_dir)
+    wide = Projection.compile(schemas, changes).apply(intel.select("row_id", "message"))
+    return wide.select("row_id", F.to_json("record").alias("record"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of every origin host, built by merging arrival batches into a session table."""
     conn = table(spark, sf_dir, "zeek_conn").select(
@@ -124,4 +147,4 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.select("src", (F.col("hour_start") / 1_000_000).cast("bigint").alias("hour_start"), "n_first", "n_final")
 
 
-QUERIES = {"p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found}
+QUERIES = {"p1_found": p1_found, "p1_unified": p1_unified, "p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found}
