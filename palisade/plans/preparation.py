@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from palisade.operators.delivery import DeliveryStore, message_id
 from palisade.operators.kslack import KSlack
+from palisade.operators.loglines import log_entries, mine_templates, parse_lines
 from palisade.operators.schema_drift import Projection, file_schemas, label_changes, message_changes, text_form
 from palisade.operators.sessions import SessionTable, clean_key, slots
 from palisade.operators.timestamps import USUAL, TimeDictionary, with_sensor_zone
@@ -124,6 +125,14 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drops.distinct()
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log entries of all layouts but plain access lines."""
+    lines = table(spark, sf_dir, "apache_web").select("log_file", "line_no", "value")
+    parsed = materialize(parse_lines(lines, mine_templates(lines)), workspace(spark, "parsed-lines"))
+    found = log_entries(lines, parsed).where("not access")
+    return found.select("log_file", "first_line", "last_line", "level", "component", "method", "path")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours whose count was corrected by late records up to the cut-off."""
     zeek = table(spark, sf_dir, "zeek_conn").select(
@@ -147,4 +156,4 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.select("src", (F.col("hour_start") / 1_000_000).cast("bigint").alias("hour_start"), "n_first", "n_final")
 
 
-QUERIES = {"p1_found": p1_found, "p1_unified": p1_unified, "p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p7_found": p7_found}
+QUERIES = {"p1_found": p1_found, "p1_unified": p1_unified, "p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found}
