@@ -3,15 +3,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from palisade.llm.encoding import encode
+from palisade.llm.history import HashForest, canonical_rows
 from palisade.llm.leakage import find_leaks
+from palisade.storage import materialize, workspace
+
+BATCHES = 3
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Indicators that repeat one accepted earlier, batch after batch against the forest."""
+    iocs = _table(spark, sf_dir, "iocs")
+    low, high = iocs.agg(F.min("batch_no"), F.max("batch_no")).first()
+    rows = materialize(canonical_rows(iocs), workspace(spark, "canonical"))
+    forest = HashForest(spark, workspace(spark, "forest"))
+    step = max(1, -(-((high or 0) - (low or 0) + 1) // BATCHES))
+    found = None
+    for b in range(BATCHES):
+        start = (low or 0) + b * step
+        pairs = forest.accept(rows.where((F.col("batch_no") >= start) & (F.col("batch_no") < start + step)))
+        found = pairs if found is None else found.unionByName(pairs)
+    return found
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return encode(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
@@ -22,5 +42,5 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_found": p9_found}
+QUERIES = {"p3_found": p3_found, "p8_ids": p8_ids, "p9_found": p9_found}
 SQL: dict[str, str] = {}
