@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from palisade.llm.encoding import encode
 from palisade.llm.history import HashForest, canonical_rows
 from palisade.llm.leakage import find_leaks
+from palisade.llm.sentences import split_sentences
 from palisade.storage import materialize, workspace
 
 BATCHES = 3
@@ -42,5 +43,10 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {"p3_found": p3_found, "p8_ids": p8_ids, "p9_found": p9_found}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sentence of every document."""
+    return split_sentences(_table(spark, sf_dir, "documents")).distinct()
+
+
+QUERIES = {"p3_found": p3_found, "p10_found": p10_found, "p8_ids": p8_ids, "p9_found": p9_found}
 SQL: dict[str, str] = {}
