@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from palisade.plans import preparation, preparation_sql
+from palisade.plans import pipelines, pipelines_sql, preparation, preparation_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return dict(preparation.QUERIES)
+    return pipelines.QUERIES | preparation.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(preparation_sql.SQL)
+    return pipelines_sql.SQL | preparation_sql.SQL
