@@ -132,6 +132,21 @@ def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return pairs
 
 
+def common_length(a: list[str], b: list[str]) -> int:
+    """Length of the longest common subsequence, bit by bit: linear in the longer sequence."""
+    if len(a) > len(b):
+        a, b = b, a
+    masks: dict[str, int] = {}
+    for i, t in enumerate(a):
+        if t != SLOT:
+            masks[t] = masks.get(t, 0) | 1 << i
+    full = row = (1 << len(a)) - 1
+    for t in b:
+        hit = row & masks.get(t, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(a) - row.bit_count()
+
+
 class Templates:
     """A set of templates of one head form; ``add`` merges a sequence into the closest one.
 
@@ -169,7 +184,7 @@ class Templates:
             need = self.share * max(own, size)
             if min(own, size) < need:
                 continue
-            n = len(common(t, types))
+            n = common_length(t, types)
             if n >= need and n > best:
                 best, at = n, i
         return at

@@ -160,7 +160,7 @@ class TimeDictionary:
 
     ``normalize`` adds ``epoch_us`` to the rows of a batch: null for null, blank, placeholder
     and impossible texts and for zone-less texts of an unknown zone. Input columns may have
-    any names: the four inputs are given as columns. Rows are neither lost nor multiplied;
+    any names: the four inputs are given as columns; one named as the output is replaced. Rows are neither lost nor multiplied;
     repeated rows stay. Very many rows with one text are safe: the join's dictionary side has
     one row a text, so Spark may split the other side's partition (adaptive skew join).
     """
@@ -189,7 +189,7 @@ class TimeDictionary:
             known, (F.col("_t") == F.col("text")) & (F.col("_z") == F.col("zone")) & (F.col("_o") == F.col("date_order")), "left"
         )
         instant = F.when(F.col("last_us") <= F.col("_i"), F.col("last_us")).otherwise(F.col("first_us"))
-        return joined.select("_row.*", instant.alias(out))
+        return joined.select(*(F.col(f"_row.`{c}`") for c in df.columns if c != out), instant.alias(out))
 
 
 # The usual form of each source's time text.

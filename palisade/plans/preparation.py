@@ -21,9 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def batch_of(column: Column, low: int, high: int, batches: int = BATCHES) -> Column:
-    """Number of the batch, 0 to ``batches`` - 1, by equal steps from ``low`` to ``high``."""
+    """Number of the batch, 0 to ``batches`` - 1, by equal steps from ``low`` to ``high``; null is in 0."""
     step = max(1, -(-(high - low + 1) // batches))
-    return F.floor((column - F.lit(low)) / F.lit(step)).cast("int")
+    return F.floor((F.coalesce(column, F.lit(low)) - F.lit(low)) / F.lit(step)).cast("int")
 
 
 def bounds(df: DataFrame, column: Column) -> tuple[int, int]:
@@ -156,4 +156,22 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late.select("src", (F.col("hour_start") / 1_000_000).cast("bigint").alias("hour_start"), "n_first", "n_final")
 
 
-QUERIES = {"p1_found": p1_found, "p1_unified": p1_unified, "p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found}
+def p7_zeek_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every hour of the Zeek connections, with the order-sensitive aggregates of the release."""
+    zeek = table(spark, sf_dir, "zeek_conn").select(
+        F.lit("zeek_conn").alias("src"), F.col("uid").alias("id"), F.unix_micros("timestamp").alias("event_us"), F.unix_micros("ingest_time").alias("arrived_us")
+    )
+    low, high = bounds(zeek, F.col("arrived_us"))
+    slack = KSlack(spark, workspace(spark, "kslack"))
+    for b in range(BATCHES):
+        slack.push(zeek.where(batch_of(F.col("arrived_us"), low, high) == b))
+    slack.close()
+    return slack.finals()
+
+
+def p1_zeek_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form of the time text in each Zeek log file against the file before."""
+    return label_changes(table(spark, sf_dir, "zeek_conn"), "log_file", text_form(F.col("ts")), "ts", "retyped")
+
+
+QUERIES = {"p1_found": p1_found, "p1_unified": p1_unified, "p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p1_zeek_ts": p1_zeek_ts, "p7_zeek_hours": p7_zeek_hours}
