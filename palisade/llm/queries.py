@@ -28,7 +28,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = None
     for b in range(BATCHES):
         start = (low or 0) + b * step
-        pairs = forest.accept(rows.where((F.col("batch_no") >= start) & (F.col("batch_no") < start + step)))
+        batch = F.coalesce("batch_no", F.lit(low or 0))
+        pairs = forest.accept(rows.where((batch >= start) & (batch < start + step)))
         found = pairs if found is None else found.unionByName(pairs)
     return found
 

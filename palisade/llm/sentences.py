@@ -10,7 +10,10 @@ is found by dynamic programming over spans of at most ``MAX_SPAN`` candidates.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -62,35 +65,55 @@ _CAND = re.compile(
     rf"|(?<=[{_THAI}])(?P<thai>[\t{_SPACES}{chr(0x3000)}]+)(?=[{_THAI}])"
 )
 _WORD_BEFORE = re.compile(r"\S+$")
-_LETTERS_ONLY = re.compile(r"[^\W\d_]+(?:\.[^\W\d_]+)*$")
 _SPACE = re.compile(r"\s*")
 _TOKEN = re.compile(r"\S+")
 
 
+_OPENERS_OF: dict[str, tuple[str, ...]] = {}
+for _o, _c in [*PAIRS.items(), ("»", "«")]:
+    _OPENERS_OF[_c] = (*_OPENERS_OF.get(_c, ()), _o)
+_MARK = re.compile("[" + re.escape("".join(dict.fromkeys([*PAIRS, *PAIRS.values(), '"']))) + "]")
+
+
 def _pairs(text: str) -> list[tuple[int, int]]:
     """Matched quotations and brackets, by a stack; straight quotes get a direction from blanks."""
     out: list[tuple[int, int]] = []
     stack: list[tuple[str, int]] = []
+    open_ = Counter()  # openers in the stack by character; a closer without one is passed at once
     n = len(text)
-    for i, c in enumerate(text):
+
+    def drop(k: int) -> None:
+        for c, _ in stack[k:]:
+            open_[c] -= 1
+        del stack[k:]
+
+    def push(c: str, i: int) -> None:
+        stack.append((c, i))
+        open_[c] += 1
+
+    for m in _MARK.finditer(text):
+        i, c = m.start(), m[0]
+        follows = i + 1 < n and not text[i + 1].isspace()
         if c == '"':
-            at = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == '"'), None)
-            opens = (i == 0 or text[i - 1].isspace() or text[i - 1] in "([{=：:") and i + 1 < n and not text[i + 1].isspace()
-            if at is not None and not (opens and i and text[i - 1].isspace()):
-                out.append((stack[at][1], i))
-                del stack[at:]
-            elif at is None:
-                stack.append(('"', i))
-            else:  # a new opening where one is open: the old one was no quotation
-                del stack[at:]
-                stack.append(('"', i))
+            after_blank = i == 0 or text[i - 1].isspace()
+            if open_[c]:
+                k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == c)
+                if not (after_blank and follows):
+                    out.append((stack[k][1], i))
+                drop(k)
+                if not (after_blank and follows):
+                    continue
+            push(c, i)  # where one is open and another opens, the old one was no quotation
             continue
-        closes = next((k for k in range(len(stack) - 1, -1, -1) if PAIRS.get(stack[k][0]) == c or (stack[k][0] == "»" and c == "«") or (stack[k][0] == "“" and c == "“" and i + 1 < n and not text[i + 1].isalnum() and i - stack[k][1] > 1)), None)
-        if closes is not None:
-            out.append((stack[closes][1], i))
-            del stack[closes:]
-        elif c in PAIRS or (c == "»" and i + 1 < n and text[i + 1].isalnum() and (i == 0 or text[i - 1].isspace())):
-            stack.append((c, i))
+        openers = [o for o in _OPENERS_OF.get(c, ()) if open_[o]]
+        if c == "“" and openers and not open_["„"]:
+            openers = []  # it opens another passage, or closes nothing that it opened
+        if openers:
+            k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in openers)
+            out.append((stack[k][1], i))
+            drop(k)
+        elif c in PAIRS or (c == "»" and follows and (i == 0 or text[i - 1].isspace())):
+            push(c, i)
     return out
 
 
@@ -126,21 +149,45 @@ class _Candidate:
         self.end, self.start, self.score, self.short, self.lead = end, start, score, short, lead
 
 
+def _last_word(text: str, stop: int) -> tuple[str, int]:
+    """The word that ends at or, over blanks, before ``stop``, and its start; long ones are cut."""
+    while stop and text[stop - 1].isspace():
+        stop -= 1
+    m = _WORD_BEFORE.search(text, max(0, stop - 80), stop)
+    return (m[0], m.start()) if m else ("", stop)
+
+
 def _abbreviation(text: str, stop: int) -> tuple[str, str, int]:
     """The word before the point at ``stop``, joined with spaced letters before it ('z. B' → 'z.b'),
     the word before that, and where the abbreviation starts."""
-    m = _WORD_BEFORE.search(text, max(0, stop - 80), stop)
-    if not m:
+    if stop and text[stop - 1].isspace():
         return "", "", stop
-    word, start = m[0].lstrip(OPENERS), m.start()
+    raw, start = _last_word(text, stop)
+    word = raw.lstrip(OPENERS)
     while True:
-        before = _WORD_BEFORE.search(text, max(0, start - 40), len(text[:start].rstrip()))
-        b = before[0].lstrip(OPENERS) if before else ""
-        joined = f"{b}{word}".lower().rstrip(".")
-        if len(b) == 2 and b[1] == "." and (joined in CONNECTIVES or joined in ENDING or joined == "т.д"):
-            word, start = b + word, before.start()
+        before, at = _last_word(text, start)
+        before = before.lstrip(OPENERS)
+        joined = f"{before}{word}".lower().rstrip(".")
+        if len(before) == 2 and before[1] == "." and (joined in CONNECTIVES or joined in ENDING or joined == "т.д"):
+            word, start = before + word, at
         else:
-            return word, b, start
+            return word, before, start
+
+
+def _blank_between(text: str, start: int, stop: int) -> bool:
+    while stop > start and text[stop - 1].isspace():
+        stop -= 1
+    return stop <= start
+
+
+def _words(text: str, start: int, stop: int, limit: int = 3) -> int:
+    """Number of words in a span, counted up to ``limit``."""
+    n = 0
+    for _ in _TOKEN.finditer(text, start, stop):
+        n += 1
+        if n == limit:
+            break
+    return n
 
 
 def _score(text: str, m: re.Match, since: int) -> _Candidate | None:
@@ -164,7 +211,7 @@ def _score(text: str, m: re.Match, since: int) -> _Candidate | None:
     case = _case(nxt)
     quoted = any(c in QUOTE_CLOSERS for c in close)
     if m["greek"]:
-        letters = [c for c in text[since : m.start()] if c.isalpha()]
+        letters = [c for c in text[max(since, m.start() - 200) : m.start()] if c.isalpha()]
         greek = sum(0x370 <= ord(c) <= 0x3FF or 0x1F00 <= ord(c) <= 0x1FFF for c in letters)
         if m["greek"] != GREEK_QUESTION and greek < 0.25 * max(1, len(letters)) or not letters:
             return None
@@ -185,7 +232,7 @@ def _score(text: str, m: re.Match, since: int) -> _Candidate | None:
     word, before, start = _abbreviation(text, m.start())
     key = word.lower().rstrip(".")
     capital = case in ("upper", "mark", "tech", "other")
-    lead = not text[since:start].strip()  # the word opens the span
+    lead = _blank_between(text, since, start)  # the word opens the span
     first = nxt.lstrip(OPENERS).rstrip(".,;:!?" + CLOSERS).lower()
     if not key:
         return _Candidate(end, after, 1.0)
@@ -236,13 +283,12 @@ def _unit(text: str) -> list[tuple[int, int]]:
     if not cands:
         return [(0, len(text))]
     # cut[k]: matched pairs a boundary at candidate k would split
-    cut = [0] * len(cands)
+    ends = [c.end for c in cands]
+    steps = [0] * (len(cands) + 1)
     for a, b in _pairs(text):
-        for k, c in enumerate(cands):
-            if c.end > b:
-                break
-            if a < c.end <= b:
-                cut[k] += 1
+        steps[bisect_right(ends, a)] += 1
+        steps[bisect_right(ends, b)] -= 1
+    cut = list(accumulate(steps))
     n = len(cands)
     starts = [0, *(c.start for c in cands)]
     best, back = [0.0] + [float("-inf")] * (n + 1), [0] * (n + 2)
@@ -253,9 +299,8 @@ def _unit(text: str) -> list[tuple[int, int]]:
             score = best[i] + base
             if not last:
                 c = cands[j - 1]
-                span = text[starts[i] : c.end]
                 if c.short or c.lead:
-                    words = len(span.split())
+                    words = _words(text, starts[i], c.end)
                     # length and closing word together: 'The U.S.' or '1.' is no sentence
                     score -= 6.0 if (c.lead and words == 1) or (c.short and words <= 2) else 0.0
             if score > best[j]:
