@@ -29,7 +29,7 @@ class Flow:
 
 
 class Runner:
-    """Runs flows below one root folder: ``tables/<target>`` and ``checkpoints/<flow>``."""
+    """Runs flows below one root folder: ``tables/<target>/<flow>`` and ``checkpoints/<flow>``."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root, self.flows = spark, root.rstrip("/"), {}
@@ -42,22 +42,35 @@ class Runner:
             raise ValueError(f"two flows are named {flow.name}")
         self.flows[flow.name] = flow
 
+    def _parts(self, name: str) -> list[str]:
+        """Folders of a table: one a flow that feeds it, for a file sink's log admits one writer."""
+        feeding = [f"{self.table(name)}/{f.name}" for f in self.flows.values() if f.target == name]
+        return feeding or [self.table(name)]
+
     def run(self, *names: str) -> None:
         """Drains the named flows (all, if none is named), one after the other, and stops."""
         for name in names or list(self.flows):
             f = self.flows[name]
-            query = sinks.start(f.build(self.spark), self.table(f.target), f"{self.root}/checkpoints/{f.name}", f.name)
+            query = sinks.start(f.build(self.spark), f"{self.table(f.target)}/{f.name}", f"{self.root}/checkpoints/{f.name}", f.name)
             query.awaitTermination()
 
     def read(self, name: str, schema: str | None = None) -> DataFrame:
-        reader = self.spark.read.schema(schema) if schema else self.spark.read.option("mergeSchema", "true")
-        return reader.parquet(self.table(name))
+        """All committed rows of a table, columns by name; parts that were never written are left out."""
+        parts = []
+        for path in self._parts(name):
+            fs, p = _fs(self.spark, path)
+            if fs.exists(p) and len(fs.listStatus(p)):
+                reader = self.spark.read.schema(schema) if schema else self.spark.read.option("mergeSchema", "true")
+                parts.append(reader.parquet(path))
+        return normalize.merge_schemas(*parts)
 
     def stream(self, name: str, schema: str | None = None) -> DataFrame:
         """New rows of a table; the schema is the table's own unless one is given."""
-        if schema is None:
-            schema = self.read(name).schema
-        return self.spark.readStream.schema(schema).parquet(self.table(name))
+        schema = schema or self.read(name).schema
+        for path in self._parts(name):
+            fs, p = _fs(self.spark, path)
+            fs.mkdirs(p)
+        return normalize.merge_schemas(*(self.spark.readStream.schema(schema).parquet(path) for path in self._parts(name)))
 
 
 def access_flows(runner: Runner, *paths: str) -> None:
