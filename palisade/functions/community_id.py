@@ -1,7 +1,7 @@
 """Community ID version 1: a hash that is the same for both directions of a flow.
 
-IPv4 TCP, UDP and SCTP flows, the bulk of any log, are hashed by built-in expressions within
-code generation; IPv6, ICMP and port-less protocols go through an Arrow batch.
+The column form is built of Spark's own expressions only, for IPv4 and IPv6, with ports, ICMP
+messages or neither. The plain function is the same by the standard library.
 """
 
 from __future__ import annotations
@@ -9,11 +9,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import ipaddress
+from itertools import chain
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TCP, UDP, SCTP, ICMP, ICMP6 = 6, 17, 132, 1, 58
 # Fixed values of the public specification: ICMP types that answer each other.
@@ -52,40 +51,57 @@ def community_id(src_ip: str | None, src_port: int | None, dst_ip: str | None, d
     return "1:" + base64.b64encode(hashlib.sha1(data).digest()).decode()
 
 
-@F.pandas_udf(T.StringType())
-def _general(src_ip: pd.Series, src_port: pd.Series, dst_ip: pd.Series, dst_port: pd.Series, proto: pd.Series, seed: pd.Series) -> pd.Series:
-    plain = lambda s: [None if pd.isna(v) else v for v in s]
-    rows = zip(plain(src_ip), plain(src_port), plain(dst_ip), plain(dst_port), plain(proto), plain(seed))
-    return pd.Series([community_id(*r) for r in rows], dtype=object)
-
-
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _IPV4 = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
 
 
-def _ip_hex(ip: Column) -> Column:
+def _v4_hex(ip: Column) -> Column:
     parts = F.split(ip, r"\.")
-    return F.concat(*(F.lpad(F.hex(parts[i].cast("int")), 2, "0") for i in range(4)))
-
-
-def _fast(src_ip: Column, src_port: Column, dst_ip: Column, dst_port: Column, proto: Column, seed: int) -> Column:
-    a = F.concat(_ip_hex(src_ip), F.lpad(F.hex(src_port.cast("int")), 4, "0"))
-    b = F.concat(_ip_hex(dst_ip), F.lpad(F.hex(dst_port.cast("int")), 4, "0"))
-    low, high = F.least(a, b), F.greatest(a, b)
-    text = F.concat(
-        F.lit(f"{seed:04X}"), F.substring(low, 1, 8), F.substring(high, 1, 8), F.lpad(F.hex(proto.cast("int")), 2, "0"), F.lit("00"),
-        F.substring(low, 9, 4), F.substring(high, 9, 4),
-    )
-    return F.concat(F.lit("1:"), F.base64(F.unhex(F.sha1(F.unhex(text)))))
+    return F.concat(*(F.lpad(F.hex(F.get(parts, F.lit(i)).try_cast("int")), 2, "0") for i in range(4)))
+
+
+def _v6_hex(ip: Column) -> Column:
+    """32 hex digits of an IPv6 address, null where it is none."""
+    # a dotted tail becomes two groups of hex digits
+    tail = F.regexp_extract(ip, r":([^:]*)$", 1)
+    dotted = tail.rlike(_IPV4)
+    text = F.when(dotted, F.concat(F.regexp_replace(ip, r"[^:]*$", ""), F.regexp_replace(_v4_hex(tail), r"^(....)", "$1:"))).otherwise(ip)
+    halves = F.split(F.lower(text), "::")
+    groups = lambda i: F.filter(F.split(F.coalesce(F.get(halves, F.lit(i)), F.lit("")), ":"), lambda g: g != "")
+    left, right = groups(0), groups(1)
+    missing = 8 - F.size(left) - F.size(right)
+    filled = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), right)
+    joined = F.array_join(F.transform(filled, lambda g: F.lpad(g, 4, "0")), "")
+    compressed = F.size(halves) == 2
+    group = r"[0-9A-Fa-f]{1,4}"
+    plain = rf"^(?:{group}:){{7}}{group}$"
+    short = rf"^(?:{group}(?::{group})*)?::(?:{group}(?::{group})*)?$"
+    valid = F.when(compressed, text.rlike(short) & (missing >= 1)).otherwise(text.rlike(plain))
+    return F.when(valid, F.upper(joined))
+
+
+def _number(c: Column, high: int) -> Column:
+    n = c.cast("int")
+    return F.when(n.between(0, high), n)
 
 
 def community_id_hash(src_ip: Column, src_port: Column, dst_ip: Column, dst_port: Column, proto: Column, seed: Column | None = None, use_seed: int | None = None) -> Column:
-    """Community ID of a flow. ``seed`` is accepted and, as elsewhere, without effect;
-    give ``use_seed`` for the specification's seeded form."""
-    number = use_seed or 0
-    port = lambda c: c.isNotNull() & c.between(0, 65535)
-    easy = src_ip.rlike(_IPV4) & dst_ip.rlike(_IPV4) & proto.isin(TCP, UDP, SCTP) & port(src_port) & port(dst_port)
-    return F.when(easy, _fast(src_ip, src_port, dst_ip, dst_port, proto, number)).otherwise(
-        # null inputs skip the batch's work, they give null in either branch
-        _general(*(F.when(easy, F.lit(None)).otherwise(c) for c in (src_ip, src_port, dst_ip, dst_port, proto)), F.lit(number))
-    )
+    """Community ID of a flow, as :func:`community_id`. ``seed`` is accepted and, as elsewhere,
+    without effect; give ``use_seed`` for the specification's seeded form."""
+    code, sport, dport = _number(proto, 255), _number(src_port, 65535), _number(dst_port, 65535)
+    v4 = src_ip.rlike(_IPV4) & dst_ip.rlike(_IPV4)
+    # versions may not be mixed: an address of the other version is null in either branch
+    src, dst = (F.when(v4, _v4_hex(ip)).otherwise(_v6_hex(ip)) for ip in (src_ip, dst_ip))
+    pairs = lambda d: F.create_map(*map(F.lit, chain.from_iterable(d.items())))
+    answer = F.when(code == ICMP, F.try_element_at(pairs(_ICMP_PAIRS), sport)).when(code == ICMP6, F.try_element_at(pairs(_ICMP6_PAIRS), sport))
+    icmp, has_ports = code.isin(ICMP, ICMP6), code.isin(TCP, UDP, SCTP)
+    hex4 = lambda c: F.lpad(F.hex(c), 4, "0")
+    a = F.concat(src, F.when(has_ports | icmp, hex4(sport)).otherwise(F.lit("")))
+    b = F.concat(dst, F.when(has_ports, hex4(dport)).when(icmp, hex4(F.coalesce(answer, dport))).otherwise(F.lit("")))
+    keep = (icmp & answer.isNull()) | (a <= b)
+    low, high = F.when(keep, a).otherwise(b), F.when(keep, b).otherwise(a)
+    size = F.when(v4, 8).otherwise(32)
+    ports = lambda x: F.substring(x, size + 1, F.lit(4))
+    addresses = lambda x: F.substring(x, F.lit(1), size)
+    text = F.concat(F.lit(f"{use_seed or 0:04X}"), addresses(low), addresses(high), F.lpad(F.hex(code), 2, "0"), F.lit("00"), ports(low), ports(high))
+    return F.concat(F.lit("1:"), F.base64(F.unhex(F.sha1(F.unhex(text)))))

