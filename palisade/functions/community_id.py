@@ -88,20 +88,30 @@ def _number(c: Column, high: int) -> Column:
 def community_id_hash(src_ip: Column, src_port: Column, dst_ip: Column, dst_port: Column, proto: Column, seed: Column | None = None, use_seed: int | None = None) -> Column:
     """Community ID of a flow, as :func:`community_id`. ``seed`` is accepted and, as elsewhere,
     without effect; give ``use_seed`` for the specification's seeded form."""
-    code, sport, dport = _number(proto, 255), _number(src_port, 65535), _number(dst_port, 65535)
+    pairs = lambda d: F.create_map(*map(F.lit, chain.from_iterable(d.items())))
+    hex4 = lambda c: F.lpad(F.hex(c), 4, "0")
     v4 = src_ip.rlike(_IPV4) & dst_ip.rlike(_IPV4)
     # versions may not be mixed: an address of the other version is null in either branch
     src, dst = (F.when(v4, _v4_hex(ip)).otherwise(_v6_hex(ip)) for ip in (src_ip, dst_ip))
-    pairs = lambda d: F.create_map(*map(F.lit, chain.from_iterable(d.items())))
-    answer = F.when(code == ICMP, F.try_element_at(pairs(_ICMP_PAIRS), sport)).when(code == ICMP6, F.try_element_at(pairs(_ICMP6_PAIRS), sport))
-    icmp, has_ports = code.isin(ICMP, ICMP6), code.isin(TCP, UDP, SCTP)
-    hex4 = lambda c: F.lpad(F.hex(c), 4, "0")
-    a = F.concat(src, F.when(has_ports | icmp, hex4(sport)).otherwise(F.lit("")))
-    b = F.concat(dst, F.when(has_ports, hex4(dport)).when(icmp, hex4(F.coalesce(answer, dport))).otherwise(F.lit("")))
-    keep = (icmp & answer.isNull()) | (a <= b)
-    low, high = F.when(keep, a).otherwise(b), F.when(keep, b).otherwise(a)
-    size = F.when(v4, 8).otherwise(32)
-    ports = lambda x: F.substring(x, size + 1, F.lit(4))
-    addresses = lambda x: F.substring(x, F.lit(1), size)
-    text = F.concat(F.lit(f"{use_seed or 0:04X}"), addresses(low), addresses(high), F.lpad(F.hex(code), 2, "0"), F.lit("00"), ports(low), ports(high))
-    return F.concat(F.lit("1:"), F.base64(F.unhex(F.sha1(F.unhex(text)))))
+    flow = F.struct(
+        src.alias("src"), dst.alias("dst"), _number(proto, 255).alias("code"), _number(src_port, 65535).alias("sport"), _number(dst_port, 65535).alias("dport")
+    )
+
+    def ends(f: Column) -> Column:
+        code, sport, dport = f["code"], f["sport"], f["dport"]
+        answer = F.when(code == ICMP, F.try_element_at(pairs(_ICMP_PAIRS), sport)).when(code == ICMP6, F.try_element_at(pairs(_ICMP6_PAIRS), sport))
+        icmp, has_ports = code.isin(ICMP, ICMP6), code.isin(TCP, UDP, SCTP)
+        a = F.concat(f["src"], F.when(has_ports | icmp, hex4(sport)).otherwise(F.lit("")))
+        b = F.concat(f["dst"], F.when(has_ports, hex4(dport)).when(icmp, hex4(F.coalesce(answer, dport))).otherwise(F.lit("")))
+        return F.struct(a.alias("a"), b.alias("b"), code.alias("code"), (icmp & answer.isNull()).alias("one_way"), F.length(f["src"]).alias("size"))
+
+    def text(e: Column) -> Column:
+        keep = e["one_way"] | (e["a"] <= e["b"])
+        low, high = F.when(keep, e["a"]).otherwise(e["b"]), F.when(keep, e["b"]).otherwise(e["a"])
+        addresses = [F.substring(x, F.lit(1), e["size"]) for x in (low, high)]
+        ports = [F.substring(x, e["size"] + 1, F.lit(4)) for x in (low, high)]
+        return F.concat(F.lit(f"{use_seed or 0:04X}"), *addresses, F.lpad(F.hex(e["code"]), 2, "0"), F.lit("00"), *ports)
+
+    # each stage is bound to a name by a one-element array, so that nothing is computed twice
+    bound = F.transform(F.transform(F.array(flow), ends), text)[0]
+    return F.concat(F.lit("1:"), F.base64(F.unhex(F.sha1(F.unhex(bound)))))
