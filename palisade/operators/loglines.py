@@ -89,7 +89,8 @@ def tokenize(line: str) -> list[tuple[str, str]]:
             out.append(("<request>" if _REQUEST.match(m["q"]) else "<quoted>", m["q"]))
         elif m["br"]:
             b = m["br"]
-            kind = "<[module:level]>" if _MODULE_LEVEL.match(b) else "<[level]>" if _BARE_LEVEL.match(b) else "<[time]>" if re.search(r"\d:\d\d|\d{9}|\d{4}-\d\d|\d{8}T", b) else "<[...]>"
+            first = not out  # only a bracket that opens the line is asked for a time
+            kind = "<[module:level]>" if _MODULE_LEVEL.match(b) else "<[level]>" if _BARE_LEVEL.match(b) else "<[time]>" if first and re.search(r"\d:\d\d|\d{9}|\d{4}-\d\d|\d{8}T", b) else "<[...]>"
             out.append((kind, b))
         else:
             w = m["w"]
@@ -99,6 +100,7 @@ def tokenize(line: str) -> list[tuple[str, str]]:
 
 
 SLOT = "*"
+HEAD = 8  # tokens in which a line's fields stand
 
 
 def _typed(t: str) -> bool:
@@ -150,9 +152,10 @@ def common_length(a: list[str], b: list[str]) -> int:
 class Templates:
     """A set of templates of one head form; ``add`` merges a sequence into the closest one.
 
-    ``limit`` bounds the set: beyond it the share a common subsequence must cover is lowered
-    and the set merged again, so any number of different lines leaves a bounded result and
-    each line still has a template.
+    Templates that would be classified differently are never merged, nor may a merge hide a
+    field in a slot. ``limit`` bounds the set: beyond it the share a common subsequence must
+    cover is lowered and the set merged again, at last to one template a classification, so any
+    number of different lines leaves a bounded result and each line still has a template.
     """
 
     def __init__(self, share: float = 0.5, limit: int = 64):
@@ -163,26 +166,28 @@ class Templates:
         if (at := self._seen.get(key)) is not None:
             self.items[at][1] += count
             return
-        at = self.closest(types)
-        if at is None:
-            self.items.append([types, count])
+        kind = signature(types)
+        at = self.closest(types, kind)
+        merged = None if at is None else self.merge(self.items[at][0], types)
+        if merged is None or signature(merged) != kind:
+            self.items.append([types, count, kind])
             at = len(self.items) - 1
             if len(self.items) > self.limit:
                 self._shrink()
                 return
         else:
-            old = self.items[at][0]
-            self.items[at] = [self.merge(old, types), self.items[at][1] + count]
+            self.items[at] = [merged, self.items[at][1] + count, kind]
         if len(self._seen) < 50_000:
             self._seen[key] = at
 
-    def closest(self, types: list[str]) -> int | None:
-        best, at = 0.0, None
+    def closest(self, types: list[str], kind: tuple) -> int | None:
+        """Index of the template of the same classification with the longest common subsequence."""
+        best, at = 0, None
         own = len(types) - types.count(SLOT)
-        for i, (t, _) in enumerate(self.items):
+        for i, (t, _, k) in enumerate(self.items):
             size = len(t) - t.count(SLOT)
             need = self.share * max(own, size)
-            if min(own, size) < need:
+            if k != kind or min(own, size) < need:
                 continue
             n = common_length(t, types)
             if n >= need and n > best:
@@ -205,10 +210,14 @@ class Templates:
         items, self.items, self._seen = sorted(self.items, key=lambda x: -x[1]), [], {}
         self.share *= 0.7
         if self.share < 0.05:
-            items = [[[items[0][0][0], SLOT], sum(c for _, c in items)]] if items[0][0] and all(x[0][:1] == items[0][0][:1] for x in items) else [[[SLOT], sum(c for _, c in items)]]
-            self.items = items
+            for types, count, kind in items:
+                same = next((x for x in self.items if x[2] == kind), None)
+                if same is None:
+                    self.items.append([[*types[:HEAD], SLOT], count, kind])
+                else:
+                    same[1] += count
             return
-        for types, count in items:
+        for types, count, _ in items:
             self.add(types, count)
 
 
@@ -223,7 +232,7 @@ def _mine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 types = [t for t, _ in tokenize(line)]
                 if types:
                     sets.setdefault(head_form(types), Templates()).add(types)
-    rows = [(form, types, n) for form, s in sets.items() for types, n in s.items]
+    rows = [(form, types, n) for form, s in sets.items() for types, n, _ in s.items]
     if rows:
         yield pd.DataFrame(rows, columns=["form", "types", "n"])
 
@@ -232,7 +241,7 @@ def _merge(pdf: pd.DataFrame) -> pd.DataFrame:
     merged = Templates()
     for types, n in sorted(((list(t), n) for t, n in zip(pdf["types"], pdf["n"])), key=lambda x: (-x[1], x[0])):
         merged.add(types, int(n))
-    return pd.DataFrame([(pdf["form"].iloc[0], t, n) for t, n in merged.items], columns=["form", "types", "n"])
+    return pd.DataFrame([(pdf["form"].iloc[0], t, n) for t, n, _ in merged.items], columns=["form", "types", "n"])
 
 
 def mine_templates(lines: DataFrame) -> DataFrame:
@@ -264,15 +273,18 @@ def roles(types: list[str]) -> dict[str, int | str]:
     if first == "<json>" or first.startswith("<kv>"):
         known = pick(TIME_KEYS) is not None or pick(LEVEL_KEYS) is not None
         return entry(level=pick(LEVEL_KEYS), component=pick(COMPONENT_KEYS), request=pick(REQUEST_KEYS)) if known else more
-    head = types[:8]
+    head = types[:HEAD]
     find = lambda *kinds, start=0: next((i for i, t in enumerate(head) if i >= start and t in kinds), None)
     if first == "<pri>":
         if types[1:2] == ["<ver>"]:  # version, time, host, program
             return entry(pri=0, component=4 if len(types) > 4 else None)
         return entry(pri=0, component=find("<tag>", "<name:>"))
     if first in ("<ip>", "<hostport>"):
-        bracket = find("<[time]>", "<[...]>")
-        return entry(request=find("<request>", "<quoted>", start=bracket)) if bracket is not None and bracket <= 5 else more
+        bracket = find("<[...]>")
+        if bracket is None or bracket > 5:
+            return more
+        asked = bracket + 1 if types[bracket + 1 : bracket + 2] in (["<request>"], ["<quoted>"]) else None
+        return entry(request=asked)
     if first == "<[time]>":
         both, level = find("<[module:level]>"), find("<[level]>", "<level>")
         return entry(both=both) if both is not None else entry(level=level)
@@ -301,6 +313,12 @@ def roles(types: list[str]) -> dict[str, int | str]:
     return more
 
 
+def signature(types: list[str]) -> tuple:
+    """What a template is classified as: its kind and the fields it has."""
+    role = roles(types)
+    return role["kind"], *sorted(k for k in role if k != "kind")
+
+
 def _fields(tokens: list[tuple[str, str]], role: dict) -> tuple[str, str, str, str]:
     level = component = method = path = ""
     text = lambda k: tokens[role[k]][1] if k in role and role[k] < len(tokens) else ""
@@ -330,21 +348,21 @@ def _parser(templates: list[tuple[str, list[str]]]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sets: dict[str, Templates] = {}
         for form, types in templates:
-            sets.setdefault(form, Templates(share=0.0)).items.append([types, 1])
+            sets.setdefault(form, Templates(share=0.0)).items.append([types, 1, signature(types)])
         programs: dict[tuple[str, ...], dict] = {}
 
         def program(types: list[str]) -> dict:
+            """Fields of a line: those of its template, at the tokens that the template's align with."""
             key = tuple(types)
             if (p := programs.get(key)) is None:
+                p = roles(types)
                 own = sets.get(head_form(types))
-                at = own.closest(types) if own else None
-                template = own.items[at][0] if at is not None else types
-                place = dict(common(template, types))  # template position → token of the line
-                role = roles(template)
-                p = {k: v if k == "kind" else place[v] for k, v in role.items() if k == "kind" or v in place}
-                missing = set(role) - set(p)
-                # a role may lie in a slot: the line's own tokens then decide, within the template's kind
-                p |= {k: v for k, v in roles(types).items() if k in missing or (k not in p and p["kind"] == "entry")} if role["kind"] != "more" else {}
+                at = own.closest(types, signature(types)) if own else None
+                if at is not None:
+                    template = own.items[at][0]
+                    place = dict(common(template, types))
+                    aligned = {k: v if k == "kind" else place.get(v) for k, v in roles(template).items()}
+                    p = aligned if None not in aligned.values() else p
                 if len(programs) < 200_000:
                     programs[key] = p
             return p
