@@ -237,8 +237,10 @@ def _score(text: str, m: re.Match, since: int) -> _Candidate | None:
     if not key:
         return _Candidate(end, after, 1.0)
     if key.isdigit() and len(key) <= 4:
-        if case == "lower" or first in MONTHS or before.lower() in BEFORE_ORDINAL:
+        if first in MONTHS or before.lower() in BEFORE_ORDINAL:
             return _Candidate(end, after, -6.0)
+        if case == "lower":  # an ordinal after a short word, else a number that ends its sentence
+            return _Candidate(end, after, -6.0 if len(before) <= 3 else 1.0, lead=True)
         return _Candidate(end, after, 3.0, lead=True)
     if any(c.isdigit() for c in key):
         return _Candidate(end, after, 3.0 if case != "lower" else 1.0)
