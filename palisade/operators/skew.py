@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 1000
+SALTS = 32
 
 
-def attach(rows: DataFrame, side: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+def attach(rows: DataFrame, side: DataFrame, keys: list[str], count: str, total: int, salt: Column) -> DataFrame:
     """Inner join of ``rows`` with ``side``, which has each key once and its number of rows.
 
     Keys with more than ``total / HOT_KEYS`` rows are hot. There are fewer than ``HOT_KEYS`` of
-    them whatever the data, so they may be broadcast, and their rows stay where they are; all
-    other keys are small enough to shuffle. ``count`` names the column of ``side`` that holds the
-    number, which is dropped.
+    them whatever the data, so their list may be broadcast. A hot key's rows are spread over
+    ``SALTS`` partitions by ``salt``, a column of ``rows`` that varies within a key, and its row of
+    ``side`` is repeated for each; all other keys join as they are. ``count`` names the column of
+    ``side`` that holds the number; it is dropped. Null keys match nothing.
     """
     limit = max(1, total // HOT_KEYS)
-    hot = F.broadcast(side.where(F.col(count) > limit).drop(count))
-    cold = side.where(F.col(count) <= limit).drop(count)
-    marked = rows.join(F.broadcast(side.where(F.col(count) > limit).select(*keys, F.lit(True).alias("_hot"))), keys, "left")
-    few = marked.where("_hot is null").drop("_hot").join(cold, keys)
-    return rows.join(hot, keys).unionByName(few)
+    hot = F.broadcast(side.where(F.col(count) > limit).select(*keys, F.lit(True).alias("_hot")))
+    left = rows.withColumn("_spread", F.pmod(F.xxhash64(salt), F.lit(SALTS)).cast("int")).join(hot, keys, "left")
+    left = left.withColumn("_salt", F.when(F.col("_hot"), F.col("_spread")).otherwise(0)).drop("_hot", "_spread")
+    copies = F.when(F.col(count) > limit, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = side.withColumn("_salt", F.explode(copies)).drop(count)
+    return left.join(right, [*keys, "_salt"]).drop("_salt")

@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.storage import SnapshotTable
+from palisade.operators.skew import attach
+from palisade.storage import SnapshotTable, materialize, workspace
 
 # Month names as they appear in logs, three or more letters, lower case.
 _MONTHS = [
@@ -160,36 +161,35 @@ class TimeDictionary:
 
     ``normalize`` adds ``epoch_us`` to the rows of a batch: null for null, blank, placeholder
     and impossible texts and for zone-less texts of an unknown zone. Input columns may have
-    any names: the four inputs are given as columns; one named as the output is replaced. Rows are neither lost nor multiplied;
-    repeated rows stay. Very many rows with one text are safe: the join's dictionary side has
-    one row a text, so Spark may split the other side's partition (adaptive skew join).
+    any names: the four inputs are given as columns; one named as the output is replaced. Rows
+    are neither lost nor multiplied; repeated rows stay. A text that very many rows share is
+    spread over tasks by the rows' ingest time.
     """
 
     SCHEMA = "text string, zone string, date_order string, first_us bigint, last_us bigint"
 
     def __init__(self, spark: SparkSession, path: str):
-        self.table = SnapshotTable(spark, path, self.SCHEMA)
+        self.spark, self.table = spark, SnapshotTable(spark, path, self.SCHEMA)
 
     def normalize(self, df: DataFrame, text: Column, zone: Column, date_order: Column, ingest_us: Column, out: str = "epoch_us") -> DataFrame:
+        keys = ["text", "zone", "date_order"]
         rows = df.select(
-            F.struct("*").alias("_row"), F.trim(text).alias("_t"), F.coalesce(zone, F.lit("")).alias("_z"),
-            F.coalesce(date_order, F.lit("")).alias("_o"), ingest_us.alias("_i"),
+            F.struct("*").alias("_row"), F.trim(text).alias("text"), F.coalesce(zone, F.lit("")).alias("zone"),
+            F.coalesce(date_order, F.lit("")).alias("date_order"), ingest_us.alias("_i"),
         )
-        keys = ["text", "zone", "date_order"]
-        seen = (
-            rows.where(F.col("_t").rlike("[0-9]"))  # placeholders without a digit can't be read
-            .select(F.col("_t").alias("text"), F.col("_z").alias("zone"), F.col("_o").alias("date_order"))
-            .distinct()
-        )
+        digits = F.coalesce(F.col("text").rlike("[0-9]"), F.lit(False))  # placeholders without a digit can't be read
+        seen = materialize(rows.where(digits).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), workspace(self.spark, "seen-times"))
+        total = seen.agg(F.sum("_n")).first()[0] or 0
+        new = seen.select(keys)
         if self.table.partitions:
-            seen = seen.join(self.table.read().select(keys), keys, "left_anti")
-        self.table.write(seen.mapInPandas(_parse_batches, self.SCHEMA))
-        known = self.table.read().where(F.col("first_us").isNotNull())
-        joined = rows.join(
-            known, (F.col("_t") == F.col("text")) & (F.col("_z") == F.col("zone")) & (F.col("_o") == F.col("date_order")), "left"
-        )
+            new = new.join(self.table.read().select(keys), keys, "left_anti")
+        self.table.write(new.mapInPandas(_parse_batches, self.SCHEMA))
+        side = seen.join(self.table.read(), keys)
+        found = attach(rows.where(digits), side, keys, "_n", total, F.col("_i"))
         instant = F.when(F.col("last_us") <= F.col("_i"), F.col("last_us")).otherwise(F.col("first_us"))
-        return joined.select(*(F.col(f"_row.`{c}`") for c in df.columns if c != out), instant.alias(out))
+        kept = [F.col(f"_row.`{c}`") for c in df.columns if c != out]
+        unread = rows.where(~digits).select(*kept, F.lit(None).cast("bigint").alias(out))
+        return found.select(*kept, instant.alias(out)).unionByName(unread)
 
 
 # The usual form of each source's time text.

@@ -42,7 +42,7 @@ def test_shared_folder(spark):
 def test_attach_hot_and_cold_keys(spark):
     rows = spark.range(3000).select("id", F.when(F.col("id") < 2000, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     side = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("m"))
-    out = attach(rows, side, ["k"], "n", 3000)
+    out = attach(rows, side, ["k"], "n", 3000, F.col("id"))
     assert out.count() == 3000 and out.where("k = 'hot' and m = 0").count() == 2000 and set(out.columns) == {"k", "id", "m"}
 
 
