@@ -245,7 +245,7 @@ class HashForest:
         self.exact.write(roots.where("old is null").select(*keys, F.col("root").alias("row_id"), "sig").sortWithinPartitions("sig"))
         filed = self._filed(roots.where(fuzzy & F.col("old").isNull() & F.col("near").isNull()).select(*keys, "row_id"))
         self.runs.write(filed.sortWithinPartitions("kind", "tree", "prefix"))
-        pairs = attach(rows, roots.select(*keys, "root", "n"), keys, "n", total)
+        pairs = attach(rows, roots.select(*keys, "root", "n"), keys, "n", total, F.col("row_id"))
         return pairs.where("row_id <> root").select(F.col("root").alias("row_id_a"), F.col("row_id").alias("row_id_b"))
 
     def _resolve(self, values: DataFrame) -> DataFrame:
