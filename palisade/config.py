@@ -82,6 +82,5 @@ class PipelineConfig:
         spark.conf.set("conf.gold_schema_name", self.normalized_schema_name)
 
 
-#: log types with their own folder, and the order in which pipelines run
+#: log types with their own folder
 LOG_TYPES = ("apache", "nginx", "zeek_conn", "zeek_http", "cloudtrail")
-RUN_ORDER = ("setup", "zeek", "apache", "cloudtrail", "detections")

@@ -11,7 +11,7 @@ import hashlib
 import ipaddress
 from itertools import chain
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TCP, UDP, SCTP, ICMP, ICMP6 = 6, 17, 132, 1, 58
@@ -115,3 +115,11 @@ def community_id_hash(src_ip: Column, src_port: Column, dst_ip: Column, dst_port
     # each stage is bound to a name by a one-element array, so that nothing is computed twice
     bound = F.transform(F.transform(F.array(flow), ends), text)[0]
     return F.concat(F.lit("1:"), F.base64(F.unhex(F.sha1(F.unhex(bound)))))
+
+
+def compare_with_baseline(flows: DataFrame) -> DataFrame:
+    """Baseline rows (saddr, sport, daddr, dport, proto, communityid) with the computed id and
+    ``comparison``: MATCH or MISMATCH, the latter also where either id is null."""
+    got = community_id_hash(F.col("saddr"), F.col("sport"), F.col("daddr"), F.col("dport"), F.col("proto"))
+    rows = flows.withColumn("computed_id", got)
+    return rows.withColumn("comparison", F.when(F.col("communityid") == F.col("computed_id"), "MATCH").otherwise("MISMATCH"))

@@ -49,8 +49,8 @@ class DeliveryStore:
     ``accept(batch)`` takes rows (id binary, at_us bigint, row_id bigint; row_id unique) and
     returns the row_ids to drop: of each identifier all copies but the earliest by
     (at_us, row_id). If the batch supersedes a stored copy, that copy's row_id is returned
-    too. Rows with a null id are ignored (they all stay). A null at_us counts as latest.
-    An empty batch returns no row. ``ids_per_bucket`` only sizes the filters: beyond it more
+    too, and may be so again by later batches with the same identifier. Rows with a null id are ignored (they all stay). A null at_us counts as latest.
+    An empty batch returns no row; the same batch again returns the same rows. ``ids_per_bucket`` only sizes the filters: beyond it more
     identifiers need the exact check, results do not change.
     """
 
@@ -75,15 +75,11 @@ class DeliveryStore:
         )
 
     def _stored(self, ids: DataFrame) -> DataFrame:
-        """(id, old): the stored copy of each id that has one."""
+        """(id, at_us, row_id): every stored copy of the ids."""
         possible = materialize(self._screen(ids), workspace(self.spark, "possible"))
         buckets = [r[0] for r in possible.select("bucket").distinct().collect()]  # at most one a day
-        return (
-            self.ids.read(buckets)
-            .join(possible, ["id", "bucket"], "left_semi")
-            .groupBy("id")
-            .agg(F.min(F.struct("at_us", "row_id")).alias("old"))
-        )
+        hits = self.ids.read(buckets).join(possible, ["id", "bucket"], "left_semi")
+        return materialize(hits.select("id", "at_us", "row_id"), workspace(self.spark, "stored"))
 
     def accept(self, batch: DataFrame) -> DataFrame:
         rows = batch.where(F.col("id").isNotNull()).select(
@@ -92,17 +88,23 @@ class DeliveryStore:
         own = rows.groupBy("id").agg(F.min(F.struct("at_us", "row_id")).alias("k"))
         if self.ids.partitions:
             own = materialize(own, workspace(self.spark, "batch-ids"))
-            own = own.join(self._stored(own.select("id")), "id", "left")
+            stored = self._stored(own.select("id"))
         else:
-            own = own.withColumn("old", F.lit(None).cast("struct<at_us:bigint,row_id:bigint>"))
+            stored = self.spark.createDataFrame([], "id binary, at_us bigint, row_id bigint")
+        best = stored.groupBy("id").agg(F.min(F.struct("at_us", "row_id")).alias("old"))
+        own = materialize(own.join(best, "id", "left"), workspace(self.spark, "batch-known"))
         new = own.where(F.col("old").isNull() | (F.col("k") < F.col("old")))
-        new = materialize(new.select("id", "k.*", F.col("old.row_id").alias("superseded")), workspace(self.spark, "new-ids"))
+        new = new.select("id", "k.*")
         day = F.to_date(F.timestamp_micros(F.least("at_us", F.lit(253_402_300_799_000_000)))).cast("string")
         dated = new.withColumn("bucket", day)
-        self.ids.write(dated, part=F.col("bucket"), spread=F.col("id"))
         bits = dated.select("bucket", _block(self.blocks).alias("block"), F.explode(F.array(*map(_bit, range(HASHES)))).alias("bit"))
         bitmaps = bits.groupBy("bucket", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+        # Filters first: an identifier is never stored without its bits, whatever fails in between.
         self.blooms.write(bitmaps, part=F.col("bucket"))
-        # row_id is unique, so this join is even however often one message was delivered
-        dropped = rows.select("row_id").join(new.select("row_id"), "row_id", "left_anti")
-        return dropped.union(new.where(F.col("superseded").isNotNull()).select("superseded"))
+        self.ids.write(dated, part=F.col("bucket"), spread=F.col("id"))
+        # row_id is unique, so these joins are even however often one message was delivered. A batch
+        # that comes again finds its own rows stored, and the keepers among them stay.
+        keepers = own.select(F.least("k", "old")["row_id"].alias("row_id"))
+        dropped = rows.select("row_id").join(keepers, "row_id", "left_anti")
+        # stored copies that an earlier one has overtaken, be it in this batch or in a failed attempt at it
+        return dropped.union(stored.select("row_id").join(keepers, "row_id", "left_anti"))

@@ -5,6 +5,9 @@ are released in event-time order to the final aggregation, which is a fold over
 events. Until then provisional values are published from the buffer. Events that arrive
 after the bound are counted, not aggregated. The state is bounded by K: a second delivery
 of an event either meets the first one in the buffer or comes after the bound.
+
+A batch that is pushed again after a failure changes nothing twice: released periods are
+closed by the watermark that is committed with their rows.
 """
 
 from __future__ import annotations
@@ -71,29 +74,37 @@ class KSlack:
     def _end(self):
         return (F.floor(F.col("event_us") / F.lit(self.period_us)) + 1) * self.period_us
 
+    def _closed(self) -> int:
+        """Watermark up to which periods are released."""
+        return self.final.meta.get("released_us", -(1 << 62))
+
     def push(self, batch: DataFrame) -> None:
         batch = batch.where("event_us is not null and arrived_us is not null and id is not null")
         mark = batch.agg(F.max("arrived_us")).first()[0]
         if mark is not None:
-            self._advance(batch, max(mark, self.buffer.meta.get("watermark_us", mark)))
+            self._advance(batch, max(mark, self._closed()))
 
     def close(self) -> None:
-        self._advance(None, None)
+        self._advance(None, 1 << 62)
 
-    def _advance(self, batch: DataFrame | None, mark: int | None) -> None:
-        held = self.buffer.read()
+    def _advance(self, batch: DataFrame | None, mark: int) -> None:
+        bound = self._end() + self.k_us
+        closed = self._closed()
+        held = self.buffer.read().where(bound >= closed)
         if batch is not None:
-            in_time = batch.where(F.col("arrived_us") <= self._end() + self.k_us)
+            in_time = batch.where((F.col("arrived_us") <= bound) & (bound >= closed))
             held = held.unionByName(in_time.select("src", "id", "event_us", "arrived_us"))
             held = held.groupBy("src", "id", "event_us").agg(F.min("arrived_us").alias("arrived_us"))
-        done = F.lit(True) if mark is None else self._end() + self.k_us < mark
-        self._release(held.where(done))
+        done = bound < mark
+        # If the driver fails between the two commits, the buffer still holds what was released,
+        # and the watermark committed with the release keeps it from counting again.
         old = self.buffer.partitions
-        self.buffer.write(held.where(~done), replace=old, meta={"watermark_us": mark})
+        self._release(held.where(done), mark)
+        self.buffer.write(held.where(~done), replace=old)
 
-    def _release(self, events: DataFrame) -> None:
+    def _release(self, events: DataFrame, mark: int) -> None:
         ordered = events.repartitionByRange("src", "event_us").sortWithinPartitions("src", "event_us", "arrived_us", "id")
-        self.final.write(ordered.select("src", "event_us", "arrived_us").mapInPandas(_fold(self.period_us, self.first_us), _PARTIAL))
+        self.final.write(ordered.select("src", "event_us", "arrived_us").mapInPandas(_fold(self.period_us, self.first_us), _PARTIAL), meta={"released_us": mark})
 
     def finals(self) -> DataFrame:
         """A period cut by a partition border has several rows; they are joined here, in order."""

@@ -67,11 +67,14 @@ class SessionTable:
     def __init__(self, spark: SparkSession, path: str, gap_us: int = GAP_US):
         self.table, self.gap_us = SnapshotTable(spark, path, self.SCHEMA), gap_us
 
-    def merge(self, events: DataFrame) -> None:
-        self.merge_intervals(slots(events, gap_us=self.gap_us))
+    def merge(self, events: DataFrame, epoch: int | None = None) -> None:
+        """``epoch``, the number of a micro-batch, makes a repeated delivery of it a no-op."""
+        self.merge_intervals(slots(events, gap_us=self.gap_us), epoch)
 
-    def merge_intervals(self, batch: DataFrame) -> None:
+    def merge_intervals(self, batch: DataFrame, epoch: int | None = None) -> None:
         """As ``merge``, for events already folded by :func:`slots`."""
+        if epoch is not None and epoch <= self.table.meta.get("epoch", -1):
+            return
         local = coalesce_intervals(batch, self.gap_us)
         low = batch.agg(F.min("start_us")).first()[0]
         if low is None:
@@ -82,7 +85,7 @@ class SessionTable:
         if touched:
             local = coalesce_intervals(self.table.read(touched).unionByName(local), self.gap_us)
         day = F.floor(F.col("end_us") / F.lit(_DAY_US))
-        self.table.write(local, part=day, replace=touched)
+        self.table.write(local, part=day, replace=touched, meta={} if epoch is None else {"epoch": epoch})
 
     def sessions(self) -> DataFrame:
         return self.table.read()

@@ -16,7 +16,7 @@ from palisade.config import LOG_TYPES, PipelineConfig, flow_name
 from palisade.operators import detect, feeds, normalize, parsers
 from palisade.operators.insert_new import ParquetTarget
 from palisade.sources import readers
-from palisade.sources.schemas import DEMO_IOCS, GOLD_STUB, IOC_LIST, OCSF_HTTP, OCSF_NETWORK
+from palisade.sources.schemas import ALERTS, DEMO_IOCS, GOLD_STUB, IOC_LIST, OCSF_HTTP, OCSF_NETWORK
 from palisade.storage import _fs
 from palisade.streaming import sinks
 
@@ -99,10 +99,17 @@ def detection_flows(runner: Runner) -> None:
     runner.add(Flow("check_http_logs_admin_scan", "detections", lambda s: detect.detect_admin_scans(runner.stream("http", OCSF_HTTP))))
 
 
+def run_all(runner: Runner, logs: str) -> None:
+    """Everything in order: setup, ingestion and normalization of all log types, detections."""
+    setup(runner, logs)
+    ingest_flows(runner, logs)
+    runner.run()
+    detection_flows(runner)
+    runner.run("match_network_iocs", "check_http_logs_admin_scan")
+
+
 def push_alerts(runner: Runner, config: PipelineConfig, secrets: dict[str, str], collector_options: dict[str, str] | None = None) -> list[str]:
     """Starts the pushes that the settings turn on; returns which."""
-    from palisade.sources.schemas import ALERTS
-
     started = []
     alerts = lambda: runner.stream("detections", ALERTS)
     if config.pushes_to_kafka:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palisade.functions import ocsf, protocols
-from palisade.functions.community_id import community_id, community_id_hash
+from palisade.functions.community_id import community_id, community_id_hash, compare_with_baseline
 from palisade.functions.register import register_all
 
 
@@ -94,3 +94,9 @@ def test_sql_functions(spark):
         "ocsf_dns_activity_name(6) e, community_id_hash('128.232.110.120', 34855, '66.35.250.204', 80, 6, 0) f"
     ).first()
     assert tuple(row) == (17, "Unassigned", 0, "Other", "Traffic", FLOWS[0][5])
+
+
+def test_baseline_comparison(spark):
+    rows = [(a, p, b, q, proto, want) for a, p, b, q, proto, want in FLOWS] + [("10.0.0.1", 1, "10.0.0.2", 2, 6, "1:other"), (None, 1, "10.0.0.2", 2, 6, None)]
+    df = spark.createDataFrame(rows, "saddr string, sport int, daddr string, dport int, proto int, communityid string")
+    assert [r.comparison for r in compare_with_baseline(df).collect()] == ["MATCH"] * 3 + ["MISMATCH"] * 2
