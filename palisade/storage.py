@@ -136,11 +136,13 @@ class SnapshotTable:
         replace: list[str] | None = None,
         meta: dict | None = None,
         spread: Column | None = None,
+        sort: list[str] | None = None,
     ) -> None:
         """Add the rows of ``df``; ``replace`` lists partitions whose old rows go.
 
         ``part`` gives each row's partition value. ``spread`` (a column that varies within
         a partition) distributes rows so that one large partition is written by many tasks.
+        ``sort`` orders the rows of each file, for narrow row groups in later range searches.
         """
         version, state = self._state()
         out = f"{self.path}/data/{version + 1:09d}-{uuid.uuid4().hex[:8]}"
@@ -153,6 +155,8 @@ class SnapshotTable:
             rows = rows.withColumn(_PART, part.cast("string"))
             if spread is not None:
                 rows = rows.repartition(F.col(_PART), F.pmod(F.xxhash64(spread), F.lit(4)))
+            if sort:
+                rows = rows.sortWithinPartitions(_PART, *sort)
             rows.write.partitionBy(_PART).parquet(out)
             for d in _ls(self.spark, out):
                 name = d.rpartition("/")[2]
