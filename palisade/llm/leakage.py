@@ -59,6 +59,11 @@ def shingles(kind: str, words: list[str]) -> Iterator[tuple[int, int]]:
             yield i, _id(words[i : i + WORD_SHINGLE])
 
 
+def kind_of(lang: str | None) -> str:
+    """Items in Chinese go by letters, all others by words."""
+    return "c" if (lang or "").strip().lower().partition("-")[0] == "zh" else "w"
+
+
 _ITEM = "item_id bigint, kind string, pos bigint, shingle bigint"
 
 
@@ -66,7 +71,7 @@ def _item_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
         for item, lang, text in zip(pdf["item_id"], pdf["lang"], pdf["text"]):
-            kind = "c" if (lang or "").strip().lower().partition("-")[0] == "zh" else "w"
+            kind = kind_of(lang)
             rows += [(item, kind, p, s) for p, s in shingles(kind, words_of(text))]
         yield pd.DataFrame(rows, columns=["item_id", "kind", "pos", "shingle"])
 
@@ -74,7 +79,20 @@ def _item_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 _DOC = "doc_id bigint, kind string, at bigint, shingle bigint"
 
 
-def _doc_shingles(kinds: list[str], wanted: frozenset[int] | None, letters: frozenset[str]):
+def _known_shingles(kind: str, words: list[str], tokens: frozenset[str] | None) -> Iterator[tuple[int, int]]:
+    """As :func:`shingles`, only those whose tokens are all in ``tokens``: others can't be an item's."""
+    if tokens is None:
+        yield from shingles(kind, words)
+        return
+    sequence, n = ("".join(words), LETTER_SHINGLE) if kind == "c" else (words, WORD_SHINGLE)
+    run = 0
+    for i, token in enumerate(sequence):
+        run = run + 1 if token in tokens else 0
+        if run >= n:
+            yield i - n + 1, _id(sequence[i - n + 1 : i + 1])
+
+
+def _doc_shingles(kinds: list[str], wanted: frozenset[int] | None, tokens: dict[str, frozenset[str]]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
@@ -83,9 +101,7 @@ def _doc_shingles(kinds: list[str], wanted: frozenset[int] | None, letters: froz
                     continue
                 words = words_of(text)
                 for kind in kinds:
-                    if kind == "c" and letters and all(letters.isdisjoint(w) for w in words):
-                        continue  # no letter in which windows of letters are written
-                    rows += [(doc, kind, p, s) for p, s in shingles(kind, words) if wanted is None or s in wanted]
+                    rows += [(doc, kind, p, s) for p, s in _known_shingles(kind, words, tokens.get(kind)) if wanted is None or s in wanted]
             yield pd.DataFrame(rows, columns=["doc_id", "kind", "at", "shingle"])
 
     return run
@@ -104,24 +120,10 @@ def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.loc[keep, ["doc_id", "item_id"]]
 
 
-_LETTERS = "letters string, plain boolean"
-
-
-def _letter_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _item_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        joined = ["".join(words_of(t)) for t in pdf["text"]]
-        chars = {c for t in joined for c in t if not c.isascii()}
-        plain = any(re.search(rf"[0-9a-z]{{{LETTERS}}}", t) for t in joined)
-        yield pd.DataFrame([("".join(sorted(chars)), plain)], columns=["letters", "plain"])
-
-
-def _window_letters(items: DataFrame) -> frozenset[str]:
-    """Letters beyond ASCII of the items, if every window of letters has one; else none.
-
-    Their number is bounded by Unicode, a batch of items passes on one row.
-    """
-    rows = items.select("text").mapInPandas(_letter_sets, _LETTERS).collect()
-    return frozenset() if any(r.plain for r in rows) else frozenset(c for r in rows for c in r.letters)
+        found = {(k, t) for lang, text in zip(pdf["lang"], pdf["text"]) for k in [kind_of(lang)] for t in ("".join(words_of(text)) if k == "c" else words_of(text))}
+        yield pd.DataFrame(sorted(found), columns=["kind", "token"])
 
 
 def _width(kind, word: int, letter: int):
@@ -143,10 +145,11 @@ def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     n_items = distinct.limit(SHARED_LIMIT + 1).count()
     wanted = frozenset(r[0] for r in distinct.collect()) if n_items <= SHARED_LIMIT else None
     docs = documents.select("doc_id", "text").where("text is not null")
-    letters: frozenset[str] = frozenset()
-    if "c" in kinds:
-        letters = _window_letters(items)
-    met = docs.mapInPandas(_doc_shingles(kinds, wanted, letters), _DOC)
+    tokens: dict[str, frozenset[str]] = {}
+    if wanted is not None:  # there are at most so many distinct words as shingles, and a few a window
+        rows = items.select("lang", "text").mapInPandas(_item_tokens, "kind string, token string").distinct().collect()
+        tokens = {k: frozenset(r.token for r in rows if r.kind == k) for k in kinds}
+    met = docs.mapInPandas(_doc_shingles(kinds, wanted, tokens), _DOC)
     if wanted is None:
         met = met.join(side.select("kind", "shingle").distinct(), ["kind", "shingle"], "left_semi")
     met = materialize(met, workspace(spark, "met-shingles"))
