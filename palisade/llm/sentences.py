@@ -60,7 +60,7 @@ _BREAK = rf"(?:\r\n|[\n\r\x0b\x0c\x85{_SEPARATORS}])"
 _BLANK = re.compile(rf"{_BREAK}(?:[^\S\n\r\x0b\x0c\x85{_SEPARATORS}]*{_BREAK})+|" + chr(0x2029))
 _THAI = f"{chr(0xE01)}-{chr(0xE3A)}{chr(0xE40)}-{chr(0xE4E)}"
 _CAND = re.compile(
-    rf"(?P<full>[{FULL_MARKS}]+[{FULL_MARKS}.!?…]*|[….]{{2,}}[!?]*|[…‥]+|[.!?]+[…]?|(?P<greek>[;{GREEK_QUESTION}]))(?P<close>[{re.escape(CLOSERS)}]*)"
+    rf"(?P<full>[{FULL_MARKS}]+[{FULL_MARKS}.!?…]*|[….]{{2,}}[!?]*|[…‥]+|[.!?]+…?(?![0-9A-Za-z_/=&%+-])|(?P<greek>[;{GREEK_QUESTION}](?=\s)))(?P<close>[{re.escape(CLOSERS)}]*)"
     rf"(?:[{_SPACES}]+(?P<late>[»›]))?"
     rf"|(?<=[{_THAI}])(?P<thai>[\t{_SPACES}{chr(0x3000)}]+)(?=[{_THAI}])"
 )
