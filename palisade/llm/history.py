@@ -6,7 +6,8 @@ permutation p starts with segment p. An entry of a new batch is located by prefi
 the whole signature, which finds equal values, then by ever shorter prefixes until the
 recall target is met. With at most four edits and five segments one segment at least is
 untouched, so prefixes of one segment reach a recall of 1, the default. Candidates are
-verified by edit distance. A batch appends runs; ``compact`` merges them.
+verified by edit distance. Runs are cut into ranges of the prefix hash and sorted by it, and a
+batch reads only the ranges its entries fall into. A batch appends runs; ``compact`` merges them.
 
 Values of all types but the fuzzy hashes are equal or different, so for them the whole
 signature is enough and history is read by equality only.
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 from itertools import product
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palisade.operators.skew import attach
@@ -184,6 +185,22 @@ class HashForest:
         self.exact = SnapshotTable(spark, f"{path}/exact", self.EXACT)
         self.runs = SnapshotTable(spark, f"{path}/runs", self.RUNS)
 
+    # -- storage --------------------------------------------------------------------------------
+
+    @staticmethod
+    def _range(c: str) -> Column:
+        """Sixteen ranges of a hash, by its highest bits: the partitions of the runs."""
+        return F.shiftright(F.col(c), 60)
+
+    def _touched(self, rows: DataFrame, c: str) -> list[str]:
+        return [str(r[0]) for r in rows.select(self._range(c)).distinct().collect()]
+
+    def _file_exact(self, rows: DataFrame, replace: list[str] | None = None) -> None:
+        self.exact.write(rows, part=self._range("sig"), spread=F.col("sig"), sort=["sig"], replace=replace)
+
+    def _file_runs(self, rows: DataFrame, replace: list[str] | None = None) -> None:
+        self.runs.write(rows, part=self._range("prefix"), spread=F.col("prefix"), sort=["prefix", "tree"], replace=replace)
+
     # -- signatures -------------------------------------------------------------------------
 
     def _filed(self, entries: DataFrame) -> DataFrame:
@@ -229,9 +246,9 @@ class HashForest:
         total = rows.count()
         keys = ["kind", "value"]
         first = rows.groupBy(*keys).agg(F.min("row_id").alias("row_id"), F.count(F.lit(1)).alias("n"))
-        first = first.withColumn("sig", F.xxhash64(*keys))
+        first = materialize(first.withColumn("sig", F.xxhash64(*keys)), workspace(self.spark, "batch-values"))
         if self.exact.partitions:
-            known = self.exact.read().select("sig", *keys, F.col("row_id").alias("old"))
+            known = self.exact.read(self._touched(first, "sig")).select("sig", *keys, F.col("row_id").alias("old"))
             first = first.join(known, ["sig", *keys], "left")
         else:
             first = first.withColumn("old", F.lit(None).cast("bigint"))
@@ -241,10 +258,11 @@ class HashForest:
         near = self._resolve(fresh.where(fuzzy).select("kind", "value", "row_id"))
         roots = first.join(near, "row_id", "left").withColumn("root", F.coalesce("old", "near", "row_id"))
         roots = materialize(roots.select(*keys, "sig", "row_id", "n", "old", "near", "root"), workspace(self.spark, "roots"))
+        # Runs first: a value is never known as accepted without being found by its neighbours. If the
+        # second commit fails, the next attempt finds its own runs and comes to the same result.
+        self._file_runs(self._filed(roots.where(fuzzy & F.col("old").isNull() & F.col("near").isNull()).select(*keys, "row_id")))
         # an exact entry stands for each spelling and names the accepted row
-        self.exact.write(roots.where("old is null").select(*keys, F.col("root").alias("row_id"), "sig").sortWithinPartitions("sig"))
-        filed = self._filed(roots.where(fuzzy & F.col("old").isNull() & F.col("near").isNull()).select(*keys, "row_id"))
-        self.runs.write(filed.sortWithinPartitions("kind", "tree", "prefix"))
+        self._file_exact(roots.where("old is null").select(*keys, F.col("root").alias("row_id"), "sig"))
         pairs = attach(rows, roots.select(*keys, "root", "n"), keys, "n", total, F.col("row_id"))
         return pairs.where("row_id <> root").select(F.col("root").alias("row_id_a"), F.col("row_id").alias("row_id_b"))
 
@@ -252,7 +270,7 @@ class HashForest:
         """(row_id, near): the accepted row each value repeats; values that are new have no row."""
         values = materialize(values, workspace(self.spark, "fuzzy"))
         probes = materialize(self._probes(values), workspace(self.spark, "probes"))
-        known = self._near(self._join(probes, self.runs.read())).groupBy("probe_id").agg(F.min("row_id").alias("near"))
+        known = self._near(self._join(probes, self.runs.read(self._touched(probes, "prefix")))).groupBy("probe_id").agg(F.min("row_id").alias("near"))
         known = materialize(known.withColumnRenamed("probe_id", "row_id"), workspace(self.spark, "near-history"))
         open_ = values.join(known, "row_id", "left_anti")
         own = self._filed(open_)
@@ -299,6 +317,5 @@ class HashForest:
 
     def compact(self) -> None:
         """Merges all runs into one sorted run a table."""
-        for table, order in ((self.exact, ["sig"]), (self.runs, ["kind", "tree", "prefix"])):
-            if len(table.partitions):
-                table.write(table.read().repartitionByRange(*order).sortWithinPartitions(*order), replace=table.partitions)
+        self._file_exact(self.exact.read(), self.exact.partitions)
+        self._file_runs(self.runs.read(), self.runs.partitions)
