@@ -139,6 +139,13 @@ SQL = {
     "proto_name_to_code": f"SELECT event_id, {_pick(PROTO_NAMES)} AS name, {_case(f'lower({_pick(PROTO_NAMES)})', protocols.CODES, 'NULL')} AS code FROM events",
     "proto_code_to_name": f"SELECT event_id, CAST(event_id % 300 AS INTEGER) AS code, {_case('event_id % 300', protocols.PROTOCOLS, chr(39) + 'Unassigned' + chr(39))} AS name FROM events",
     "ocsf_network_name": _name(ocsf.NETWORK), "ocsf_dns_name": _name(ocsf.DNS), "ocsf_http_name": _name(ocsf.HTTP), "ocsf_file_name": _name(ocsf.FILE),
+    "community_id": f"""WITH {_CONN},
+x AS (SELECT 'C' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS uid,
+  printf('0A01%02X%02X%04X', l_partkey % 256, l_orderkey % 256, 1024 + l_orderkey % 60000) AS a,
+  printf('C63364%02X%04X', l_suppkey % 200, CASE l_returnflag WHEN 'A' THEN 443 WHEN 'R' THEN 53 ELSE 80 END) AS b,
+  CASE WHEN l_returnflag = 'R' THEN '11' ELSE '06' END AS proto FROM lineitem),
+y AS (SELECT uid, least(a, b) AS lo, greatest(a, b) AS hi, proto FROM x)
+SELECT uid, '1:' || to_base64(unhex(sha1(unhex('0000' || left(lo, 8) || left(hi, 8) || proto || '00' || right(lo, 4) || right(hi, 4))))) AS community_id, true AS same FROM y""",
     "ocsf_http_id": f"""WITH v AS (SELECT event_id, CASE WHEN event_id % 13 <> 0 THEN {_pick(HTTP_VERBS)} END AS verb FROM events)
   SELECT event_id, verb, {_case('lower(verb)', ocsf.HTTP_VERBS, '99')} AS id FROM v""",
 }
