@@ -36,7 +36,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
-    return encode(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
+    encoded = encode(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return encoded.select("doc_id", F.col("ids").cast("array<bigint>").alias("ids"))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
