@@ -93,8 +93,8 @@ def _time_texts(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]
 
 
 def _instants(times: TimeDictionary, sensors: DataFrame, rows: DataFrame) -> DataFrame:
-    """One row a (rec_key, text, sensor), by its earliest arrival, with its instant."""
-    once = rows.groupBy("rec_key", "text", "sensor").agg(F.min("ingest_time").alias("ingest_time"))
+    """One row a (src, rec_key, text, sensor), by its earliest arrival, with its instant."""
+    once = rows.groupBy("src", "rec_key", "text", "sensor").agg(F.min("ingest_time").alias("ingest_time"))
     once = with_sensor_zone(once, sensors)
     return times.normalize(once, F.col("text"), F.col("zone_name"), F.col("date_order"), F.unix_micros("ingest_time"))
 
@@ -103,13 +103,12 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readable time texts that are not in their source's usual form, as UTC instants."""
     times = TimeDictionary(spark, workspace(spark, "times"))
     sensors = table(spark, sf_dir, "sensors")
-    found = None
-    for src, rows in _time_texts(spark, sf_dir):
-        unusual = rows.where(F.col("text").isNotNull() & ~F.col("text").rlike(USUAL[src]) & F.col("text").rlike("[0-9]"))
-        read = _instants(times, sensors, unusual).where("epoch_us is not null")
-        read = read.select(F.lit(src).alias("src"), "rec_key", "epoch_us")
-        found = read if found is None else found.unionByName(read)
-    return found.distinct()
+    texts = [
+        rows.where(F.col("text").isNotNull() & ~F.col("text").rlike(USUAL[src]) & F.col("text").rlike("[0-9]")).withColumn("src", F.lit(src))
+        for src, rows in _time_texts(spark, sf_dir)
+    ]
+    found = [_instants(times, sensors, a.unionByName(b)).where("epoch_us is not null") for a, b in (texts[:2], texts[2:])]
+    return found[0].unionByName(found[1]).select("src", "rec_key", "epoch_us").distinct()
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +137,9 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     zeek = table(spark, sf_dir, "zeek_conn").select(
         F.lit("zeek_conn").alias("src"), F.col("uid").alias("id"), F.unix_micros("timestamp").alias("event_us"), F.unix_micros("ingest_time").alias("arrived_us")
     )
-    trail = table(spark, sf_dir, "aws_cloudtrail").select(F.col("event_id").alias("rec_key"), F.col("event_time").alias("text"), "sensor", "ingest_time")
+    trail = table(spark, sf_dir, "aws_cloudtrail").select(
+        F.lit("aws_cloudtrail").alias("src"), F.col("event_id").alias("rec_key"), F.col("event_time").alias("text"), "sensor", "ingest_time"
+    )
     usual = F.col("text").rlike(USUAL["aws_cloudtrail"])
     plain = trail.where(usual).select("rec_key", "ingest_time", F.unix_micros(F.col("text").try_cast("timestamp")).alias("epoch_us"))
     times = TimeDictionary(spark, workspace(spark, "times"))
