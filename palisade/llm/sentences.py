@@ -60,7 +60,7 @@ _BREAK = rf"(?:\r\n|[\n\r\x0b\x0c\x85{_SEPARATORS}])"
 _BLANK = re.compile(rf"{_BREAK}(?:[^\S\n\r\x0b\x0c\x85{_SEPARATORS}]*{_BREAK})+|" + chr(0x2029))
 _THAI = f"{chr(0xE01)}-{chr(0xE3A)}{chr(0xE40)}-{chr(0xE4E)}"
 _CAND = re.compile(
-    rf"(?P<full>[{FULL_MARKS}]+[{FULL_MARKS}.!?…]*|[….]{{2,}}[!?]*|[…‥]+|[.!?]+…?(?![0-9A-Za-z_/=&%+-])|(?P<greek>[;{GREEK_QUESTION}](?=\s)))(?P<close>[{re.escape(CLOSERS)}]*)"
+    rf"(?P<full>[{FULL_MARKS}]+[{FULL_MARKS}.!?…]*|[….]{{2,}}[!?]*|[…‥]+|[.!?]+…?(?![0-9A-Za-z_/=&%+-])|(?P<greek>[;{GREEK_QUESTION}](?=[{re.escape(CLOSERS)}]*(?:\s|$))))(?P<close>[{re.escape(CLOSERS)}]*)"
     rf"(?:[{_SPACES}]+(?P<late>[»›]))?"
     rf"|(?<=[{_THAI}])(?P<thai>[\t{_SPACES}{chr(0x3000)}]+)(?=[{_THAI}])"
 )
@@ -215,7 +215,8 @@ def _score(text: str, m: re.Match, since: int) -> _Candidate | None:
         greek = sum(0x370 <= ord(c) <= 0x3FF or 0x1F00 <= ord(c) <= 0x1FFF for c in letters)
         if m["greek"] != GREEK_QUESTION and greek < 0.25 * max(1, len(letters)) or not letters:
             return None
-        return _Candidate(end, after, 3.0)
+        if not close:
+            return _Candidate(end, after, 3.0)
     if close:  # the mark stands inside; the sentence around may go on
         if nxt[0] in ",;:،、，：；" or nxt[0] in "—–-" or case == "lower":
             return _Candidate(end, after, -8.0)

@@ -222,6 +222,14 @@ def test_sentences_without_blanks(line):
     assert [text[a:b] for a, b in sentences(text)] == line.split("|")
 
 
+@pytest.mark.parametrize("mark", [";", chr(0x37E)])
+def test_greek_questions_inside_closing_marks(mark):
+    line = '«Τι έγινε;»|Μετά ήρθε.|«Ποιος το είδε;» ρώτησε η Άννα.|(Ποιος άνοιξε;)|Η ομάδα.|"Ποιος άνοιξε;"|Το είπε.|Ρώτησε: «Ποιος; Πότε;»|Ποιος;'
+    want = line.replace(";", mark).split("|")
+    text = " ".join(want)
+    assert [text[a:b] for a, b in sentences(text)] == want
+
+
 def test_units_and_offsets():
     text = "  1. Scope\n \nA b\nfell. Down\r\n\r\nlevel=warn msg=\"x. Y\"\n\n\n$ cmd?"
     assert [text[a:b] for a, b in sentences(text)] == ["1. Scope", "A b\nfell.", "Down", 'level=warn msg="x. Y"', "$ cmd?"]
