@@ -4,13 +4,13 @@ A text is cut at blank lines into units. Within a unit every mark that may end a
 a candidate boundary; a segmentation is a path over candidates, and each step of the path is
 a whole sentence span. A span is scored as a whole: its length, its opening word, its
 closing word and mark, and whether its quotations and brackets are balanced. The best path
-is found by dynamic programming over spans of at most ``MAX_SPAN`` candidates.
+is found by dynamic programming over spans of any length.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
@@ -18,8 +18,6 @@ from itertools import accumulate
 import pandas as pd
 from pyspark.sql import DataFrame
 
-MAX_SPAN = 96  # longest sentence, in candidate boundaries
-
 # Marks that end sentences in their scripts, and marks that open or close passages.
 FULL_MARKS = "。！？｡．‼⁇⁈⁉।॥؟۔։።፧፨။។៕᠃᠉꓿"
 PLAIN_MARKS = ".!?…‥"
@@ -180,16 +178,6 @@ def _blank_between(text: str, start: int, stop: int) -> bool:
     return stop <= start
 
 
-def _words(text: str, start: int, stop: int, limit: int = 3) -> int:
-    """Number of words in a span, counted up to ``limit``."""
-    n = 0
-    for _ in _TOKEN.finditer(text, start, stop):
-        n += 1
-        if n == limit:
-            break
-    return n
-
-
 def _score(text: str, m: re.Match, since: int) -> _Candidate | None:
     """A candidate boundary with its score, or None where the mark can't end a sentence."""
     if m["thai"]:
@@ -294,20 +282,27 @@ def _unit(text: str) -> list[tuple[int, int]]:
     cut = list(accumulate(steps))
     n = len(cands)
     starts = [0, *(c.start for c in cands)]
-    best, back = [0.0] + [float("-inf")] * (n + 1), [0] * (n + 2)
+    runs = [m.span() for m in _TOKEN.finditer(text)] if any(c.short or c.lead for c in cands) else []
+    opens = [a for a, _ in runs]
+    # top[i]: the node with the best path up to node i, the first among equals. A span's score depends on
+    # where it starts only if it has one or two words, so these two groups of starts are all there is to weigh
+    best, back, top = [0.0] * (n + 2), [0] * (n + 2), [0] * (n + 2)
     for j in range(1, n + 2):  # node j: boundary after candidate j - 1; node n + 1: the unit's end
-        last = j == n + 1
-        base = 0.0 if last else cands[j - 1].score - 10.0 * cut[j - 1]
-        for i in range(max(0, j - MAX_SPAN), j):
-            score = best[i] + base
-            if not last:
-                c = cands[j - 1]
-                if c.short or c.lead:
-                    words = _words(text, starts[i], c.end)
-                    # length and closing word together: 'The U.S.' or '1.' is no sentence
-                    score -= 6.0 if (c.lead and words == 1) or (c.short and words <= 2) else 0.0
-            if score > best[j]:
-                best[j], back[j] = score, i
+        i, base = top[j - 1], 0.0
+        if j <= n:
+            c = cands[j - 1]
+            base = c.score - 10.0 * cut[j - 1]
+            if c.short or c.lead:
+                # length and closing word together: 'The U.S.' or '1.' is no sentence
+                limit = 2 if c.short else 1
+                k = bisect_left(opens, c.end) - 1 - limit
+                near = bisect_left(starts, runs[k][1], 0, j) if k >= 0 else 0  # starts from here on leave so few words
+                if near and best[top[near - 1]] >= best[i] - 6.0:
+                    i = top[near - 1]
+                elif i >= near:
+                    base -= 6.0
+        best[j], back[j] = best[i] + base, i
+        top[j] = j if best[j] > best[top[j - 1]] else top[j - 1]
     out = []
     j = n + 1
     while j:

@@ -230,6 +230,20 @@ def test_greek_questions_inside_closing_marks(mark):
     assert [text[a:b] for a, b in sentences(text)] == want
 
 
+@pytest.mark.parametrize(
+    "line",
+    [
+        'The note said "' + "Isolate it. " * 300 + 'Call us." before the shift.|It ended.',
+        "Logs were lost (" + "It fell. Why? " * 200 + "so they say).|It ended.",
+        "See " + ", ".join(f"p. {i}" for i in range(1, 300)) + " of it.|It ended.",
+    ],
+)
+def test_sentences_of_many_marks(line):
+    want = line.split("|")
+    text = " ".join(want)
+    assert [text[a:b] for a, b in sentences(text)] == want
+
+
 def test_units_and_offsets():
     text = "  1. Scope\n \nA b\nfell. Down\r\n\r\nlevel=warn msg=\"x. Y\"\n\n\n$ cmd?"
     assert [text[a:b] for a, b in sentences(text)] == ["1. Scope", "A b\nfell.", "Down", 'level=warn msg="x. Y"', "$ cmd?"]
