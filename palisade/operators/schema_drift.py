@@ -6,8 +6,9 @@ minimum-cost script of adds, deletes, renames and moves is the report, and the s
 all files compile into one projection that reads every layout.
 
 Scale: messages are profiled partition by partition in Arrow batches and reduced to one
-row a (file, path); only files that differ from their predecessor reach the tree matching.
-Windows run over files or (stream, path), never over messages.
+row a (file, path) and one a word in it; only files that differ from their predecessor reach
+the tree matching. Words are counted whole and compared by a join, so no task holds a field's
+vocabulary. Windows run over files or (stream, path), never over messages.
 """
 
 from __future__ import annotations
@@ -15,14 +16,14 @@ from __future__ import annotations
 import json
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WORDS = 48  # most frequent words kept a (file, path) by each task: a sketch of bounded size
 FLUSH = 20_000  # (file, path) entries a task gathers before it passes them on
+FLUSH_WORDS = 400_000  # and words in them
 
 # Kinds of values. Fixed patterns, tried in this order.
 _KINDS = [
@@ -75,7 +76,7 @@ def leaves(node: dict, prefix: str = "") -> Iterator[tuple[str, object]]:
                 yield at, value
 
 
-_PROFILE = "source_file string, path string, n bigint, kinds map<string,bigint>, types map<string,bigint>, words map<string,bigint>"
+_PROFILE = "source_file string, path string, word string, n bigint, kinds map<string,bigint>, types map<string,bigint>"
 
 
 _TOKEN = re.compile(r"[^\W\d_]{2,}")
@@ -92,11 +93,15 @@ def tokens_of(value: object) -> list[str]:
 
 def _profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held: dict[tuple[str, str], list] = {}
+    n_words = 0
 
     def flush() -> pd.DataFrame:
-        rows = [(f, p, e[0], dict(e[1]), dict(e[2]), dict(e[3].most_common(WORDS))) for (f, p), e in held.items()]
+        rows = []
+        for (f, p), e in held.items():
+            rows.append((f, p, None, e[0], dict(e[1]), dict(e[2])))
+            rows += [(f, p, w, c, None, None) for w, c in e[3].items()]
         held.clear()
-        return pd.DataFrame(rows, columns=["source_file", "path", "n", "kinds", "types", "words"])
+        return pd.DataFrame(rows, columns=["source_file", "path", "word", "n", "kinds", "types"])
 
     for pdf in batches:
         for file, message in zip(pdf["source_file"], pdf["message"]):
@@ -115,27 +120,31 @@ def _profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     continue
                 entry[1][kind_of(value)] += 1
                 entry[2][json_type(value)] += 1
-                entry[3].update(tokens_of(value))
-        if len(held) > FLUSH:
-            yield flush()
+                words = entry[3]
+                before = len(words)
+                words.update(tokens_of(value))
+                n_words += len(words) - before
+            if len(held) > FLUSH or n_words > FLUSH_WORDS:
+                yield flush()
+                n_words = 0
     if held:
         yield flush()
 
 
 def file_schemas(messages: DataFrame) -> DataFrame:
-    """(source_file, message) → a row a (source_file, path): kinds, words and json_type.
+    """(source_file, message) → a row a (source_file, path), with kinds and json_type, and a row
+    a word of its values (``word`` is null in the former), each with its count ``n``.
 
     ``json_type`` is the type of most non-null values, null where all are null.
     """
     parts = messages.where("source_file is not null and message is not null").select("source_file", "message").mapInPandas(_profiles, _PROFILE)
 
-    keys = ["source_file", "path"]
+    keys = ["source_file", "path", "word"]
     # partials of one (file, path) come from as many tasks as hold the file; each has a bounded size
     agg = parts.groupBy(*keys).agg(
         F.sum("n").alias("n"),
         F.collect_list("kinds").alias("_k"),
         F.collect_list("types").alias("_t"),
-        F.collect_list("words").alias("_w"),
     )
 
     def total(col: str) -> Column:
@@ -144,25 +153,33 @@ def file_schemas(messages: DataFrame) -> DataFrame:
         count = lambda k: F.aggregate(F.filter(entries, lambda e: e["key"] == k), F.lit(0).cast("bigint"), lambda a, e: a + e["value"])
         return F.map_from_arrays(names, F.transform(names, count))
 
-    out = agg.select(*keys, "n", total("_k").alias("kinds"), total("_t").alias("types"), total("_w").alias("words"))
+    out = agg.select(*keys, "n", total("_k").alias("kinds"), total("_t").alias("types"))
     best = F.array_max(F.transform(F.map_entries("types"), lambda e: F.struct(e["value"].alias("v"), e["key"].alias("k"))))["k"]
     return out.withColumn("json_type", best)
 
 
-def value_distance(a: dict | None, b: dict | None) -> float:
-    """0 for the same sort of values, 1 for different sorts, from kinds and words."""
+def strangeness(met: float, mass: float, total: float) -> float:
+    """How far the words that repeat within a field (``mass`` of its ``total`` words) are missed
+    in another, which has ``met`` of them; where none repeats, the kind decides."""
+    return (1 - met / mass) * min(1.0, 1.5 * mass / total) if mass else 0.0
+
+
+def strange_words(x: dict[str, int], y: dict[str, int]) -> float:
+    repeated = {w: c for w, c in x.items() if c > 1}
+    return strangeness(sum(c for w, c in repeated.items() if w in y), sum(repeated.values()), sum(x.values()))
+
+
+def value_distance(a: dict | None, b: dict | None, strange: float | None = None) -> float:
+    """0 for the same sort of values, 1 for different sorts, from kinds and words.
+
+    ``strange`` is what the words say, where it is known; else the profiles have their words.
+    """
     if not a or not b or not a["kinds"] or not b["kinds"]:
         return 1.0
     na, nb = sum(a["kinds"].values()), sum(b["kinds"].values())
     kinds = sum(abs(a["kinds"].get(k, 0) / na - b["kinds"].get(k, 0) / nb) for k in {*a["kinds"], *b["kinds"]}) / 2
-    # words that repeat within a field must be met again; where none does, the kind decides
-    strange = 0.0
-    for x, y in ((a["words"], b["words"]), (b["words"], a["words"])):
-        repeated = {w: c for w, c in x.items() if c > 1}
-        mass = sum(repeated.values())
-        if mass:
-            met = sum(c for w, c in repeated.items() if w in y)
-            strange = max(strange, (1 - met / mass) * min(1.0, 1.5 * mass / sum(x.values())))
+    if strange is None:
+        strange = max(strange_words(a["words"], b["words"]), strange_words(b["words"], a["words"]))
     return min(1.0, kinds + strange)
 
 
@@ -212,10 +229,13 @@ DELETE = ADD = 1.0
 VALUE_WEIGHT, LABEL_WEIGHT, MOVE_WEIGHT = 2.6, 0.4, 0.2
 
 
-def tree_edit_script(old: dict[str, dict], new: dict[str, dict]) -> list[tuple[str, str, str]]:
+def tree_edit_script(
+    old: dict[str, dict], new: dict[str, dict], strange: Callable[[str, str], float] | None = None
+) -> list[tuple[str, str, str]]:
     """Minimum-cost script between the trees of the paths ``old`` and ``new``.
 
-    Values are profiles. Operations: ("delete", path, ""), ("add", path, ""), ("rename", path,
+    Values are profiles; ``strange`` gives what the words of two paths say, where the profiles
+    have none. Operations: ("delete", path, ""), ("add", path, ""), ("rename", path,
     new_path) for another key under the same parent, ("move", path, new_path) for another
     parent. Equal paths cost nothing and drop out. A relabelled leaf costs its value distance,
     label distance and, once a pair of parents, the move; where that is dearer than a delete
@@ -234,7 +254,7 @@ def tree_edit_script(old: dict[str, dict], new: dict[str, dict]) -> list[tuple[s
                 a, b = gone[i], come[j]
                 move = 0.0 if parent(a) == parent(b) else MOVE_WEIGHT / max(1, shared[parent(a), parent(b)])
                 label = label_distance(a.rpartition(".")[2], b.rpartition(".")[2])
-                cost[i][j] = VALUE_WEIGHT * value_distance(old[a], new[b]) + LABEL_WEIGHT * label + move
+                cost[i][j] = VALUE_WEIGHT * value_distance(old[a], new[b], strange and strange(a, b)) + LABEL_WEIGHT * label + move
             elif i < len(gone):
                 cost[i][j] = DELETE
             elif j < len(come):
@@ -260,13 +280,27 @@ _REPORT = {"delete": "removed", "add": "added", "rename": "renamed", "move": "re
 
 
 def _script_of_file(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One file's differing paths → its report. ``side`` is 'old', 'new' or 'both'."""
-    profile = lambda r: {"kinds": _dict(r.kinds), "words": _dict(r.words), "type": r.json_type, "last": r.last_type}
+    """One file's differing paths → its report. ``side`` is 'old', 'new' or 'both'; or 'words-old' or
+    'words-new' with a path's repeated words ``x`` and all words ``y``; or 'met' with the repeated words of
+    ``path`` that ``other`` has (``x``), and the other way round (``y``)."""
+    profile = lambda r: {"kinds": _dict(r.kinds), "type": r.json_type, "last": r.last_type}
     sides: dict[str, dict] = {"old": {}, "new": {}, "both": {}}
+    mass: dict[tuple, tuple[float, float]] = {}
+    met: dict[tuple, tuple[float, float]] = {}
     for r in pdf.itertuples():
-        sides[r.side][r.path] = profile(r)
+        if r.side == "met":
+            met[r.path, r.other] = r.x, r.y
+        elif r.side.startswith("words-"):
+            mass[r.side[6:], r.path] = r.x, r.y
+        else:
+            sides[r.side][r.path] = profile(r)
+
+    def strange(a: str, b: str) -> float:
+        x, y = met.get((a, b), (0, 0))
+        return max(strangeness(x, *mass.get(("old", a), (0, 0))), strangeness(y, *mass.get(("new", b), (0, 0))))
+
     rows = []
-    for op, path, new in tree_edit_script(sides["old"], sides["new"]):
+    for op, path, new in tree_edit_script(sides["old"], sides["new"], strange):
         rows.append((path, _REPORT[op], new))
         was, now = sides["old"].get(path), sides["new"].get(new)
         if now and was and was["type"] and now["type"] and was["type"] != now["type"]:
@@ -291,7 +325,7 @@ def message_changes(schemas: DataFrame) -> DataFrame:
     compared with the last one that has. The last known type and values of a path hold over
     files where it is present with nulls only; a rename hands them on to the new path.
     """
-    rows = schemas.withColumn("stream", stream_of(F.col("source_file")))
+    rows = schemas.where("word is null").drop("word").withColumn("stream", stream_of(F.col("source_file")))
     files = rows.select("stream", "source_file").distinct()
     by_file = Window.partitionBy("stream").orderBy("source_file")
     files = files.withColumn("idx", F.row_number().over(by_file)).withColumn("next_file", F.lead("source_file").over(by_file))
@@ -305,20 +339,30 @@ def message_changes(schemas: DataFrame) -> DataFrame:
         .withColumn("last_type", F.last("json_type", ignorenulls=True).over(by_path.rowsBetween(Window.unboundedPreceding, -1)))
         .withColumn("known_type", F.last("json_type", ignorenulls=True).over(known))
         .withColumn("known_kinds", F.last(F.when(filled, F.col("kinds")), ignorenulls=True).over(known))
-        .withColumn("known_words", F.last(F.when(filled, F.col("words")), ignorenulls=True).over(known))
+        .withColumn("known_file", F.last(F.when(filled, F.col("source_file")), ignorenulls=True).over(known))
     )
     come = rows.where("idx > 1 and (before is null or before < idx - 1)").select(
-        "source_file", "path", F.lit("new").alias("side"), "kinds", "words", "json_type", "last_type"
+        "source_file", "path", F.lit("new").alias("side"), "kinds", F.col("source_file").alias("words_of"), "json_type", "last_type"
     )
     gone = rows.where("next_file is not null and (after is null or after > idx + 1)").select(
         F.col("next_file").alias("source_file"), "path", F.lit("old").alias("side"), F.col("known_kinds").alias("kinds"),
-        F.col("known_words").alias("words"), F.col("known_type").alias("json_type"), "last_type",
+        F.col("known_file").alias("words_of"), F.col("known_type").alias("json_type"), "last_type",
     )
     other = rows.where("before = idx - 1 and json_type <> last_type").select(
-        "source_file", "path", F.lit("both").alias("side"), "kinds", "words", "json_type", "last_type"
+        "source_file", "path", F.lit("both").alias("side"), "kinds", F.lit(None).cast("string").alias("words_of"), "json_type", "last_type"
     )
-    # a group is one file's differing paths: bounded by the width of a schema
-    return come.unionByName(gone).unionByName(other).groupBy("source_file").applyInPandas(_script_of_file, _CHANGE)
+    # the words of both sides, counted and matched without gathering any field's words
+    sides = come.unionByName(gone)
+    words = schemas.where("word is not null").select(F.col("source_file").alias("words_of"), "path", "word", "n")
+    words = sides.select("source_file", "side", "path", "words_of").join(words, ["words_of", "path"])
+    again = F.when(F.col("n") > 1, F.col("n")).otherwise(0)
+    mass = words.groupBy("source_file", F.concat(F.lit("words-"), "side").alias("side"), "path").agg(F.sum(again).alias("x"), F.sum("n").alias("y"))
+    side = lambda which, path, count: words.where(F.col("side") == which).select("source_file", "word", F.col("path").alias(path), again.alias(count))
+    met = side("old", "path", "x").join(side("new", "other", "y"), ["source_file", "word"]).groupBy("source_file", "path", "other")
+    met = met.agg(F.sum("x").alias("x"), F.sum("y").alias("y")).withColumn("side", F.lit("met"))
+    # a group is one file's differing paths and pairs of them: bounded by the width of a schema
+    groups = sides.unionByName(other).drop("words_of").unionByName(mass, allowMissingColumns=True).unionByName(met, allowMissingColumns=True)
+    return groups.groupBy("source_file").applyInPandas(_script_of_file, _CHANGE)
 
 
 def label_changes(rows: DataFrame, file: str, label: Column, field: str, change: str) -> DataFrame:
@@ -356,7 +400,7 @@ class Projection:
         """
         widths = {
             r.path: (r.files, r.types)
-            for r in schemas.groupBy("path").agg(F.count(F.lit(1)).alias("files"), F.collect_set("json_type").alias("types")).collect()
+            for r in schemas.where("word is null").groupBy("path").agg(F.count(F.lit(1)).alias("files"), F.collect_set("json_type").alias("types")).collect()
         }
         root = {p: p for p in widths}
 

@@ -78,6 +78,18 @@ def test_layout_changes(spark):
     }
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_rename_of_a_text_field_with_many_words(spark, parts):
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(700)]
+    text = lambda words: " ".join(rng.choices(words, k=12))
+    files = {f"s/{i}": [{key: text(vocabulary), "id": "x"} for _ in range(400)] for i, key in enumerate(["note", "remark"])}
+    files["s/2"] = [{"comment": text([w + "x" for w in vocabulary]), "id": "x"} for _ in range(400)]  # other words
+    df = messages(spark, files).repartition(parts)
+    found = schema_drift.message_changes(schema_drift.file_schemas(df))
+    assert {tuple(r) for r in found.collect()} == {("s/1", "note", "renamed", "remark"), ("s/2", "remark", "removed", ""), ("s/2", "comment", "added", "")}
+
+
 def test_drift_of_nothing_and_unified_table(spark):
     assert changes(spark, {}) == set()
     files = {"s/1": [{"a": {"b": "x y"}, "n": 1}], "s/2": [{"b": "x z", "n": 2}, "broken"]}
