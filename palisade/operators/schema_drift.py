@@ -17,11 +17,14 @@ import json
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain, count
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palisade.storage import materialize, workspace
+
 FLUSH = 20_000  # (file, path) entries a task gathers before it passes them on
 FLUSH_WORDS = 400_000  # and words in them
 
@@ -63,20 +66,19 @@ def json_type(value: object) -> str | None:
     return "array" if isinstance(value, list) else "string"
 
 
-def leaves(node: dict, prefix: str = "") -> Iterator[tuple[str, object]]:
-    """Dotted paths and values; arrays are leaves, an object without keys has none."""
-    stack = [(prefix, node)]
+def leaves(node: dict) -> Iterator[tuple[tuple[str, ...], object]]:
+    """Keys down to each leaf and its value; arrays are leaves, an object without keys has none."""
+    stack = [((), node)]
     while stack:
-        path, obj = stack.pop()
+        keys, obj = stack.pop()
         for key, value in obj.items():
-            at = f"{path}.{key}" if path else key
             if isinstance(value, dict):
-                stack.append((at, value))
+                stack.append(((*keys, key), value))
             else:
-                yield at, value
+                yield (*keys, key), value
 
 
-_PROFILE = "source_file string, path string, word string, n bigint, kinds map<string,bigint>, types map<string,bigint>"
+_PROFILE = "source_file string, path string, word string, n bigint, kinds map<string,bigint>, types map<string,bigint>, forms map<string,bigint>"
 
 
 _TOKEN = re.compile(r"[^\W\d_]{2,}")
@@ -98,10 +100,10 @@ def _profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def flush() -> pd.DataFrame:
         rows = []
         for (f, p), e in held.items():
-            rows.append((f, p, None, e[0], dict(e[1]), dict(e[2])))
-            rows += [(f, p, w, c, None, None) for w, c in e[3].items()]
+            rows.append((f, p, None, e[0], dict(e[1]), dict(e[2]), {json.dumps(k): c for k, c in e[4].items()}))
+            rows += [(f, p, w, c, None, None, None) for w, c in e[3].items()]
         held.clear()
-        return pd.DataFrame(rows, columns=["source_file", "path", "word", "n", "kinds", "types"])
+        return pd.DataFrame(rows, columns=["source_file", "path", "word", "n", "kinds", "types", "forms"])
 
     for pdf in batches:
         for file, message in zip(pdf["source_file"], pdf["message"]):
@@ -111,11 +113,14 @@ def _profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue  # null or cut off
             if not isinstance(doc, dict):
                 continue
-            for path, value in leaves(doc):
+            for keys, value in leaves(doc):
+                path = ".".join(keys)
                 entry = held.get((file, path))
                 if entry is None:
-                    entry = held[file, path] = [0, Counter(), Counter(), Counter()]
+                    entry = held[file, path] = [0, Counter(), Counter(), Counter(), Counter()]
                 entry[0] += 1
+                if len(keys) > 1 or "." in path:
+                    entry[4][keys] += 1
                 if value is None:
                     continue
                 entry[1][kind_of(value)] += 1
@@ -135,7 +140,8 @@ def file_schemas(messages: DataFrame) -> DataFrame:
     """(source_file, message) → a row a (source_file, path), with kinds and json_type, and a row
     a word of its values (``word`` is null in the former), each with its count ``n``.
 
-    ``json_type`` is the type of most non-null values, null where all are null.
+    ``json_type`` is the type of most non-null values, null where all are null. ``forms`` has the
+    keys that make up the path, as JSON lists: a dot in it may part keys or be in one.
     """
     parts = messages.where("source_file is not null and message is not null").select("source_file", "message").mapInPandas(_profiles, _PROFILE)
 
@@ -145,6 +151,7 @@ def file_schemas(messages: DataFrame) -> DataFrame:
         F.sum("n").alias("n"),
         F.collect_list("kinds").alias("_k"),
         F.collect_list("types").alias("_t"),
+        F.collect_list("forms").alias("_f"),
     )
 
     def total(col: str) -> Column:
@@ -153,7 +160,7 @@ def file_schemas(messages: DataFrame) -> DataFrame:
         count = lambda k: F.aggregate(F.filter(entries, lambda e: e["key"] == k), F.lit(0).cast("bigint"), lambda a, e: a + e["value"])
         return F.map_from_arrays(names, F.transform(names, count))
 
-    out = agg.select(*keys, "n", total("_k").alias("kinds"), total("_t").alias("types"))
+    out = agg.select(*keys, "n", total("_k").alias("kinds"), total("_t").alias("types"), total("_f").alias("forms"))
     best = F.array_max(F.transform(F.map_entries("types"), lambda e: F.struct(e["value"].alias("v"), e["key"].alias("k"))))["k"]
     return out.withColumn("json_type", best)
 
@@ -385,51 +392,134 @@ def text_form(ts: Column) -> Column:
     return F.when(ts.rlike(r"^\d+\.\d+$"), "decimal").when(ts.rlike(r"^\d+$"), "integer").when(ts.isNotNull(), "text")
 
 
+_MAP = "source_file string, layout map<string,string>"
+
+
+def _maps_of_stream(groups: dict[str, str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A stream's scripts in the order of its files → the map from path to column after each.
+
+    A rename hands its column on. A path that comes takes the column it had in this stream
+    before, else its group's, else one of its own: never one that another path of the file has.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        live: dict[str, str] = {}
+        past: dict[str, str] = {}
+        rows = []
+        for file, script in pdf.sort_values(["source_file", "change", "field"]).groupby("source_file"):
+            moved = []
+            for r in script.itertuples():
+                if r.change in ("removed", "renamed") and r.field in live:
+                    past[r.field] = live.pop(r.field)
+                    moved += [(r.new_field, past[r.field])] if r.change == "renamed" else []
+            live.update(moved)
+            held = set(live.values())
+            for path in script.loc[script["change"] == "added", "field"]:
+                own = (f"{path}#{n}" for n in count(2))
+                live[path] = next(c for c in chain((past.get(path), groups.get(path, path), path), own) if c and c not in held)
+                held.add(live[path])
+            rows.append((file, dict(live)))
+        return pd.DataFrame(rows, columns=["source_file", "layout"])
+
+    return run
+
+
+def path_groups(schemas: DataFrame, changes: DataFrame) -> dict[str, str]:
+    """Paths that renames link, by the path most files have; never two that one file has.
+
+    Only the distinct paths, links and sets of linked paths in files come to the driver: the
+    width of the schema, not its files.
+    """
+    rows = schemas.where("word is null")
+    widths = {r.path: r["count"] for r in rows.groupBy("path").count().collect()}
+    links = changes.where("change = 'renamed' and field <> 'dataset'").groupBy("field", "new_field").count().collect()
+    linked = schemas.sparkSession.createDataFrame([(p,) for p in sorted({p for r in links for p in (r.field, r.new_field)})], "path string")
+    sets = rows.join(F.broadcast(linked), "path").groupBy("source_file").agg(F.sort_array(F.collect_set("path")).alias("paths")).select("paths").distinct().collect()
+    together: dict[str, set[str]] = {}
+    for r in sets:
+        for p in r.paths:
+            together.setdefault(p, set()).update(r.paths)
+    members = {p: {p} for p in widths}
+    for r in sorted(links, key=lambda r: (-r["count"], r.field, r.new_field)):
+        a, b = members.get(r.field), members.get(r.new_field)
+        if a and b and a is not b and not any(together.get(p, set()) & b for p in a):
+            a |= b
+            members.update(dict.fromkeys(b, a))
+    return {p: min(m, key=lambda q: (-widths[q], q)) for p, m in members.items()}
+
+
+_PLAIN_KEY = re.compile(r"[A-Za-z0-9_ -]+")
+
+
+def _read(value: Column, keys: list[str], read_as: str) -> Column:
+    """The leaf at ``keys``; keys that a variant path can't express are looked up in a map."""
+    for i, key in enumerate(keys):
+        if not _PLAIN_KEY.fullmatch(key):
+            inner = F.try_variant_get(value, "$" + "".join(f"['{k}']" for k in keys[:i]), "map<string,variant>")[key]
+            return _read(inner, keys[i + 1 :], read_as)
+    return F.try_variant_get(value, "$" + "".join(f"['{k}']" for k in keys), read_as)
+
+
 class Projection:
-    """All scripts compiled: which paths carry each field, and the type it is read as."""
+    """The scripts compiled: a map from path to column for each file, and the type of each column."""
 
-    def __init__(self, fields: dict[str, list[str]], types: dict[str, str]):
-        self.fields, self.types = fields, types
+    def __init__(self, fields: dict[str, list[tuple[str, bool]]], types: dict[str, str], forms: dict[str, list[list[str]]], maps: DataFrame | None):
+        self.fields, self.types, self.forms, self.maps = fields, types, forms, maps
 
     @classmethod
     def compile(cls, schemas: DataFrame, changes: DataFrame) -> Projection:
-        """Paths linked by renames are one field, named by the path most files have.
+        """Each file's map follows from the scripts of its stream up to it.
 
-        Only the distinct paths, their renames and types come to the driver: the width of the
-        schema, not its files.
+        The columns of different streams are the same where their paths are, or are linked by a
+        rename in any stream and never stand in one file (:func:`path_groups`).
         """
-        widths = {
-            r.path: (r.files, r.types)
-            for r in schemas.where("word is null").groupBy("path").agg(F.count(F.lit(1)).alias("files"), F.collect_set("json_type").alias("types")).collect()
-        }
-        root = {p: p for p in widths}
-
-        def find(p: str) -> str:
-            while root[p] != p:
-                p = root[p]
-            return p
-
-        for r in changes.where("change = 'renamed' and field <> 'dataset'").select("field", "new_field").distinct().collect():
-            if r.field in root and r.new_field in root:
-                root[find(r.field)] = find(r.new_field)
-        groups: dict[str, list[str]] = {}
-        for p in sorted(widths, key=lambda p: (-widths[p][0], p)):
-            groups.setdefault(find(p), []).append(p)
+        changes = materialize(changes, workspace(schemas.sparkSession, "changes"))
+        rows = schemas.where("word is null").select("source_file", "path", "json_type", "forms").withColumn("stream", stream_of(F.col("source_file")))
+        files = rows.select("stream", "source_file").distinct()
+        first = files.groupBy("stream").agg(F.min("source_file").alias("source_file"))
+        start = rows.join(first, ["stream", "source_file"]).select("stream", "source_file", F.col("path").alias("field"), F.lit("added").alias("change"), F.lit("").alias("new_field"))
+        scripts = changes.where("change <> 'retyped' and field <> 'dataset'").withColumn("stream", stream_of(F.col("source_file"))).unionByName(start)
+        # a group is the scripts of one stream, never its messages
+        changed = scripts.groupBy("stream").applyInPandas(_maps_of_stream(path_groups(schemas, changes)), _MAP)
+        order = Window.partitionBy("stream").orderBy("source_file")
+        maps = files.join(changed, "source_file", "left").select("source_file", F.last("layout", ignorenulls=True).over(order).alias("layout"))
+        maps = materialize(maps, workspace(schemas.sparkSession, "layouts"))
         read_as = {"number": "double", "boolean": "boolean", "string": "string", "array": "array<string>"}
-        fields, types = {}, {}
-        for paths in groups.values():
-            kinds = {t for p in paths for t in widths[p][1]}
-            fields[paths[0]] = paths
-            types[paths[0]] = read_as[kinds.pop()] if len(kinds) == 1 else "string"
-        return cls(dict(sorted(fields.items())), types)
-
-    def apply(self, df: DataFrame, message: str = "message") -> DataFrame:
+        forms: dict[str, list[list[str]]] = {}
+        for r in rows.select("path", F.explode(F.map_keys("forms")).alias("form")).distinct().orderBy("form").collect():
+            forms.setdefault(r.path, []).append(json.loads(r.form))
+        pairs = rows.join(maps, "source_file").groupBy("path", F.col("layout")[F.col("path")].alias("name")).agg(F.collect_set("json_type").alias("types")).collect()
+        columns = Counter(r.path for r in pairs)
+        fields: dict[str, list[tuple[str, bool]]] = {}
+        kinds: dict[str, set[str]] = {}
+        for r in sorted(pairs, key=lambda r: (r.name, r.path)):
+            fields.setdefault(r.name, []).append((r.path, columns[r.path] > 1))
+            kinds.setdefault(r.name, set()).update(r.types)
+        types = {name: read_as[next(iter(k))] if len(k) == 1 else "string" for name, k in kinds.items()}
+        return cls(fields, types, forms, maps)
+
+    def apply(self, df: DataFrame, message: str = "message", file: str = "source_file") -> DataFrame:
         """``df`` with one struct ``record`` of all fields; null for unreadable messages."""
-        v = F.try_parse_json(F.col(message))
-        quote = lambda p: "$" + "".join(f"['{k}']" for k in p.split("."))
-        columns = [
-            F.coalesce(*(F.try_variant_get("_v", quote(p), self.types[name]) for p in paths)).alias(name.replace(".", "_"))
-            for name, paths in self.fields.items()
-            if "'" not in "".join(paths)
-        ]
-        return df.withColumn("_v", v).withColumn("record", F.when(F.col("_v").isNotNull(), F.struct(*columns))).drop("_v")
+        if not self.fields:
+            return df.withColumn("record", F.lit(None).cast("struct<>"))
+        names: dict[str, str] = {}
+        for field in sorted(self.fields, key=lambda f: ("." in f, f)):
+            name = field.replace(".", "_")
+            while name.lower() in names:
+                name += "_"
+            names[name.lower()] = field
+        out = {field: field.replace(".", "_") + "_" * (len(low) - len(field)) for low, field in names.items()}
+        v = F.col("_v")
+
+        def read(name: str, path: str, ambiguous: bool) -> Column:
+            value = F.coalesce(*(_read(v, keys, self.types[name]) for keys in self.forms.get(path, [[path]])))
+            return F.when(F.col("_layout")[path] == name, value) if ambiguous else value
+
+        columns = [F.coalesce(*(read(name, *p) for p in paths)).alias(out[name]) for name, paths in self.fields.items()]
+        maps = self.maps.select(F.col("source_file").alias("_file"), F.col("layout").alias("_layout"))
+        if any(ambiguous for paths in self.fields.values() for _, ambiguous in paths):
+            df = df.join(maps, df[file] == maps["_file"], "left")
+        else:  # every path has one column in all files
+            df = df.withColumns({"_file": F.lit(None), "_layout": F.lit(None)})
+        df = df.withColumn("_v", F.try_parse_json(F.col(message)))
+        return df.withColumn("record", F.when(v.isNotNull(), F.struct(*columns))).drop("_v", "_file", "_layout")

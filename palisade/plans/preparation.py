@@ -49,7 +49,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message read into one table by the compiled edit scripts."""
     intel, schemas, changes = _drift(spark, sf_dir)
-    wide = Projection.compile(schemas, changes).apply(intel.select("row_id", "message"))
+    wide = Projection.compile(schemas, changes).apply(intel.select("row_id", "source_file", "message"))
     return wide.select("row_id", F.to_json("record").alias("record"))
 
 

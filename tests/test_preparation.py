@@ -5,6 +5,7 @@ import json
 import random
 from datetime import datetime, timedelta, timezone
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -101,6 +102,37 @@ def test_drift_of_nothing_and_unified_table(spark):
     assert None in values and {tuple(sorted(map(str, v.values()))) for v in values if v} == {("1.0", "x y"), ("2.0", "x z")}
 
 
+def test_unified_table_keeps_every_value(spark):
+    who = lambda i: f"hunter_{i % 4}"
+    files = {
+        "s/1": [{"reporter": who(i), "n": i} for i in range(8)],
+        "s/2": [{"owner": who(i), "n": i} for i in range(8)],
+        # both linked paths in one message, each another field; odd keys
+        "t/1": [{"reporter": "first one", "owner": "second one", "it's": "q'", "x.y": "dotted", "x": {"z": "nested"}, 'a"?[b': "odd", "a.b": {"c'": "deep"}, "x_y": "plain"}],
+        "u/1": [{"owner": who(i)} for i in range(8)],
+    }
+    df = messages(spark, files)
+    schemas = schema_drift.file_schemas(df)
+    found = schema_drift.message_changes(schemas)
+    wide = schema_drift.Projection.compile(schemas, found).apply(df)
+    got = {}
+    for r in wide.select("source_file", "message", "record").collect():
+        values = {k: v for k, v in r.record.asDict().items() if v is not None}
+        want = [v for _, v in schema_drift.leaves(json.loads(r.message))]
+        assert sorted(map(str, values.values())) == sorted(str(float(v)) if isinstance(v, int) else v for v in want)
+        got.setdefault(r.source_file, set()).update(values)
+    assert got["s/1"] == got["s/2"] and len(got["s/1"]) == 2
+
+
+def test_columns_after_renames():
+    rows = [("1", "a", "added", ""), ("1", "c", "added", ""), ("2", "a", "renamed", "b"), ("3", "a", "added", ""), ("4", "b", "removed", ""), ("5", "b", "added", "")]
+    out = schema_drift._maps_of_stream({"a": "a", "b": "a", "c": "c"})(pd.DataFrame(rows, columns=["source_file", "field", "change", "new_field"]))
+    assert dict(zip(out.source_file, out.layout)) == {
+        "1": {"a": "a", "c": "c"}, "2": {"b": "a", "c": "c"}, "3": {"a": "a#2", "b": "a", "c": "c"},
+        "4": {"a": "a#2", "c": "c"}, "5": {"a": "a#2", "b": "a", "c": "c"},
+    }
+
+
 def test_tree_edit_script_moves_and_assignment():
     hexes = lambda n: {"kinds": {f"hex{n}": 9}, "words": {}}
     script = schema_drift.tree_edit_script({"md5_hash": hexes(32), "imphash": hexes(32)}, {"md5": hexes(32)})
