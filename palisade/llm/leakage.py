@@ -116,7 +116,7 @@ def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if kind == "c":
                 x, y = "".join(x), "".join(y)
             n = LETTERS if kind == "c" else WORDS
-            keep.append(len(y[q : q + n]) == n and x[p : p + n] == y[q : q + n])
+            keep.append(any(len(y[i : i + n]) == n and x[p : p + n] == y[i : i + n] for i in q))
         yield pdf.loc[keep, ["doc_id", "item_id"]]
 
 
@@ -177,7 +177,7 @@ def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
         probe = found.select("doc_id", "item_id", "kind", "pos", "start", (F.col("pos") + place).alias("p"), (F.col("start") + place).alias("at")).distinct()
         probe = probe.join(ends, ["item_id", "kind", "p"]).join(met, ["doc_id", "kind", "at", "shingle"], "left_semi")
         found = probe.select("doc_id", "item_id", "kind", "pos", "start").distinct()
-    # one aligned stretch a pair and start is enough to read the texts again
-    found = found.groupBy("doc_id", "item_id", "kind", "start").agg(F.min("pos").alias("pos"))
+    # the texts are read again once a pair and start, for every window whose ends match there
+    found = found.groupBy("doc_id", "item_id", "kind", "start").agg(F.collect_set("pos").alias("pos"))
     checked = found.join(docs.withColumnRenamed("text", "doc_text"), "doc_id").join(items.select("item_id", F.col("text").alias("item_text")), "item_id")
     return checked.select("doc_id", "item_id", "kind", "start", "pos", "doc_text", "item_text").mapInPandas(_texts, "doc_id bigint, item_id bigint").distinct()

@@ -184,6 +184,15 @@ def test_leaks(spark, monkeypatch, limit):
     assert {tuple(r) for r in got.collect()} == leaks_by_force(docs, items)
 
 
+def test_windows_of_equal_ends(spark):
+    letters = [chr(0x4E00 + i) for i in range(40)]
+    a, b, x, y = ("".join(letters[i:j]) for i, j in ((0, 8), (8, 16), (16, 20), (20, 24)))
+    items = [(1, "zh", a + x + b + "".join(letters[30:38]) + a + y + b)]
+    docs = [(1, a + y + b), (2, a + x + b), *((d, a[1:] + x + b[:7]) for d in (3, 4, 5))]
+    got = leakage.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, lang string, text string"))
+    assert {tuple(r) for r in got.collect()} == leaks_by_force(docs, items) == {(1, 1), (2, 1)}
+
+
 def test_no_leaks_in_nothing(spark):
     docs, items = spark.createDataFrame([], "doc_id bigint, text string"), spark.createDataFrame([], "item_id bigint, lang string, text string")
     assert leakage.find_leaks(docs, items).count() == 0
