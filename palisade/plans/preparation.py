@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from palisade.operators.delivery import DeliveryStore, message_id
 from palisade.operators.kslack import KSlack
-from palisade.operators.loglines import log_entries, mine_templates, parse_lines
+from palisade.operators.loglines import log_entries, mine_templates, parse_lines, tokenize_lines
 from palisade.operators.schema_drift import Projection, file_schemas, label_changes, message_changes, text_form
 from palisade.operators.sessions import SessionTable, clean_key, slots
 from palisade.operators.timestamps import USUAL, TimeDictionary, with_sensor_zone
@@ -127,7 +127,8 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log entries of all layouts but plain access lines."""
     lines = table(spark, sf_dir, "apache_web").select("log_file", "line_no", "value")
-    parsed = materialize(parse_lines(lines, mine_templates(lines)), workspace(spark, "parsed-lines"))
+    tokens = materialize(tokenize_lines(lines), workspace(spark, "line-tokens"))
+    parsed = materialize(parse_lines(tokens, mine_templates(tokens)), workspace(spark, "parsed-lines"))
     found = log_entries(lines, parsed).where("not access")
     return found.select("log_file", "first_line", "last_line", "level", "component", "method", "path")
 

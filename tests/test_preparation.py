@@ -17,7 +17,7 @@ from palisade.operators.kslack import HOUR_US, KSlack
 from palisade.operators.sessions import GAP_US, SessionTable, clean_key
 from palisade.operators.skew import attach
 from palisade.operators.timestamps import TimeDictionary, parse_time, with_sensor_zone
-from palisade.storage import SnapshotTable, shared_dir, workspace
+from palisade.storage import SnapshotTable, materialize, shared_dir, workspace
 
 # -- storage ------------------------------------------------------------------------------------
 
@@ -336,7 +336,8 @@ WANT = [
 
 def parse_log(spark, rows):
     df = spark.createDataFrame(rows, "log_file string, line_no bigint, value string, kind string, first_line int")
-    parsed = loglines.parse_lines(df, loglines.mine_templates(df))
+    tokens = materialize(loglines.tokenize_lines(df), workspace(spark, "tokens"))
+    parsed = loglines.parse_lines(tokens, loglines.mine_templates(tokens))
     found = loglines.log_entries(df, parsed).where("not access").collect()
     return sorted((r.first_line, r.last_line, r.level, r.component, r.method, r.path) for r in found)
 
@@ -383,11 +384,57 @@ def test_common_subsequence(a, b):
     assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
 
 
-def test_templates_stay_bounded():
-    t = loglines.Templates(limit=8)
-    for i in range(300):
-        t.add(["<time>", *(f"w{(i * k) % 97}x" for k in range(1, 6))])
-    assert len(t.items) <= 8 and sum(x[1] for x in t.items) == 300 and all(x[0][0] == "<time>" for x in t.items)
+SYSLOG = [
+    "<70>Jun 22 15:46:35 web-3 sshd[2559]: slow query: 569 ms [table=sessions]",
+    "<86>Jun 22 15:46:36 web-3 auditd[17]: token rejected: issuer mismatch for client 280",
+    "<70>Jun 22 15:47:35 web-1 sshd[60]: retrying in 786 ms: pool exhausted",
+    "<2>Jun 22 15:47:36 web-1 kernel: disk usage at 436%: rotating",
+    "<3>Jun 22 15:47:39 web-1 kernel: slow query: 12 ms [table=users]",
+    "<4>Jun 22 15:48:36 web-1 cron[4]: user u1 failed login - bad password",
+]
+
+
+@pytest.mark.parametrize("parts", [1, 4, 16])
+def test_templates_do_not_depend_on_tasks_and_keep_each_field(spark, parts):
+    """Merging lines of differing messages never moves the program to a word of the message."""
+    rows = [("f", i, SYSLOG[i % len(SYSLOG)].replace("2559", str(i))) for i in range(60)]
+    df = spark.createDataFrame(rows, "log_file string, line_no bigint, value string").repartition(parts, "line_no")
+    tokens = materialize(loglines.tokenize_lines(df), workspace(spark, "tokens"))
+    for chunk in (2, 1000):
+        templates = loglines.mine_templates(tokens, chunk)
+        got = {r.line_no: r.component for r in loglines.parse_lines(tokens, templates).collect()}
+        assert got == {i: ("sshd", "auditd", "sshd", "kernel", "kernel", "cron")[i % 6] for i in range(60)}
+    none = loglines.parse_lines(tokens, templates.limit(0)).collect()
+    assert all(r.kind == "more" and not r.component for r in none)  # without templates nothing is parsed
+
+
+def test_a_cluster_gives_a_field_that_one_line_does_not_show(spark):
+    """VERBOSE is no level word; where all other lines of the template have their level, it is one."""
+    lines = [f"[2025-07-07 10:00:{i:02d}] [core:{lv}] [pid {i}] started job {i}" for i, lv in enumerate(["info", "warn"] * 10)]
+    rows = [("f", i, x) for i, x in enumerate([*lines, "[2025-07-07 10:01:00] [core:verbose] [pid 3] started job 9"])]
+    rows += [("f", 100 + i, f"2025-07-07 10:00:{i:02d},1 {lv} {'' if i % 2 else '[w] '}a.b.C - job {i} ended") for i, lv in enumerate(["INFO", "WARN", "VERBOSE"] * 4)]
+    df = spark.createDataFrame(rows, "log_file string, line_no bigint, value string")
+    tokens = materialize(loglines.tokenize_lines(df), workspace(spark, "tokens"))
+    got = {r.line_no: (r.kind, r.level, r.component) for r in loglines.parse_lines(tokens, loglines.mine_templates(tokens)).collect()}
+    assert got[0] == ("entry", "INFO", "core") and got[20][0] == "entry"
+    assert got[100] == ("entry", "INFO", "a.b.C")
+
+
+def test_merges_keep_each_field_on_its_own_token():
+    t = lambda line: loglines.Template([k for k, _ in loglines.tokenize(line)])
+    lines = [*SYSLOG, SYSLOG[0].replace(" web-3", ""), SYSLOG[3].replace(" web-1", "")]
+    own = {line: t(line) for line in lines}
+    for a in lines:
+        for b in lines:
+            both = own[a].merged(own[b])
+            for x in (a, b) if both else ():
+                assert loglines.places(both, own[x].types) == own[x].roles
+    assert own[lines[0]].merged(own[lines[-2]]) is None  # the program is one token further on
+
+
+def test_long_lines_cluster():
+    a, b = [["<time>", *(f"{k}{i}" for i in range(6000))] for k in "ab"]
+    assert loglines.Template(a).merged(loglines.Template(b)).n == 2
 
 
 # -- 7 late events ------------------------------------------------------------------------------
