@@ -372,7 +372,7 @@ def places(template: Template, types: list[str]) -> dict[str, int | str] | None:
     return out
 
 
-_TOKENS = "log_file string, line_no bigint, seq bigint, types array<string>, texts array<string>"
+_TOKENS = "log_file string, line_no bigint, seq bigint, form string, types array<string>, texts array<string>"
 _SEEN = 100_000  # sequences of which a task remembers that it has passed them on
 
 
@@ -383,22 +383,24 @@ def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for file, no, line in zip(pdf["log_file"], pdf["line_no"], pdf["value"]):
             tokens = tokenize(line) if line else []
             if not tokens:
-                rows.append((file, no, None, None, None))
+                rows.append((file, no, None, None, None, None))
                 continue
             types = [t for t, _ in tokens]
             seq = xxhash.xxh3_64_intdigest("\x1f".join(types)) - (1 << 63)
-            rows.append((file, no, seq, None if seq in known else types, [x for _, x in tokens]))
+            first = (None, None) if seq in known else (head_form(types), types)
+            rows.append((file, no, seq, *first, [x for _, x in tokens]))
             known.add(seq)
         if len(known) > _SEEN:
             known.clear()
-        yield pd.DataFrame(rows, columns=["log_file", "line_no", "seq", "types", "texts"])
+        yield pd.DataFrame(rows, columns=["log_file", "line_no", "seq", "form", "types", "texts"])
 
 
 def tokenize_lines(lines: DataFrame) -> DataFrame:
-    """(log_file, line_no, value) → (log_file, line_no, seq, types, texts).
+    """(log_file, line_no, value) → (log_file, line_no, seq, form, types, texts).
 
     ``seq`` identifies the sequence of token types, null for null, empty and blank lines;
-    ``types`` is given with the first line of a sequence in each task, ``texts`` with each.
+    ``form`` (:func:`head_form`) and ``types`` come with the first line of a sequence in each
+    task, ``texts`` with each.
     """
     return lines.select("log_file", "line_no", "value").mapInPandas(_tokens, _TOKENS)
 
@@ -425,7 +427,8 @@ def _cluster(pdf: pd.DataFrame) -> pd.DataFrame:
     return out.astype({"n": "Int64"})
 
 
-_ROLES = "seq bigint, kind string, places map<string,int>, n bigint"
+_FIELDS = ["pri", "level", "component", "both", "request", "method", "path", "key", "value"]
+_ROLES = "seq bigint, n bigint, kind string, " + ", ".join(f"at_{k} int" for k in _FIELDS)
 
 
 def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -438,14 +441,15 @@ def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 t = known[r.template] = Template(list(r.pattern), {int(k): v for k, v in json.loads(r.seen).items()})
             p = places(t, list(r.types))
             if p is not None:
-                rows.append((r.seq, p["kind"], {k: v for k, v in p.items() if k != "kind"}, r.n))
+                rows.append((r.seq, r.n, p["kind"], *(p.get(k) for k in _FIELDS)))
         if len(known) > _SEEN:
             known.clear()
-        yield pd.DataFrame(rows, columns=["seq", "kind", "places", "n"])
+        out = pd.DataFrame(rows, columns=["seq", "n", "kind", *(f"at_{k}" for k in _FIELDS)])
+        yield out.astype({f"at_{k}": "Int32" for k in _FIELDS})
 
 
 def mine_templates(tokens: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Rows of :func:`tokenize_lines` → (seq, kind, places, n): what each sequence's template says.
+    """Rows of :func:`tokenize_lines` → (seq, n, kind, at_pri, at_level, ...): what each sequence's template says.
 
     Distinct sequences are counted over all lines. Those of one head form are cut into chunks
     of about ``chunk`` by their own hash, never by the tasks they come from, and clustered; the
@@ -453,10 +457,9 @@ def mine_templates(tokens: DataFrame, chunk: int = CHUNK) -> DataFrame:
     templates depend on the lines alone, however they are spread.
     """
     spark = tokens.sparkSession
-    sequences = tokens.where("types is not null").groupBy("seq").agg(F.first("types").alias("types"))
+    sequences = tokens.where("types is not null").groupBy("seq").agg(F.first("form").alias("form"), F.first("types").alias("types"))
     counts = tokens.where("seq is not null").groupBy("seq").agg(F.count(F.lit(1)).alias("n"))
-    form = F.pandas_udf(lambda s: s.map(lambda t: head_form(list(t))), "string")
-    sequences = materialize(sequences.join(counts, "seq").withColumn("form", form("types")), workspace(spark, "sequences"))
+    sequences = materialize(sequences.join(counts, "seq"), workspace(spark, "sequences"))
     level = sequences.select(F.col("seq").alias("id"), "form", "types", F.lit(None).cast("string").alias("seen"), "n")
     members, total, last = None, level.count(), None
     while total and (last is None or total < 0.95 * last):
@@ -490,8 +493,7 @@ def parse_lines(tokens: DataFrame, templates: DataFrame) -> DataFrame:
     total = templates.agg(F.sum("n")).first()[0] or 0
     lines = tokens.select("log_file", "line_no", "seq", "texts")
     rows = attach(lines.where("seq is not null"), templates, ["seq"], "n", total, F.col("line_no"))
-    # the expressions below are many; the hash join's side has one row a sequence, and all stays in the JVM
-    text = lambda k: F.get("texts", F.col("places")[k])
+    text = lambda k: F.get("texts", F.col(f"at_{k}"))
     number = text("pri").try_cast("int") % len(SEVERITIES)
     bare = F.regexp_replace(text("both"), r"^\[|\]$", "")
     words = F.split(F.regexp_replace(text("request"), r'^"+|"+$', ""), " ")
