@@ -17,7 +17,7 @@ from palisade.operators.kslack import HOUR_US, KSlack
 from palisade.operators.sessions import GAP_US, SessionTable, clean_key
 from palisade.operators.skew import attach
 from palisade.operators.timestamps import TimeDictionary, parse_time, with_sensor_zone
-from palisade.storage import SnapshotTable, materialize, shared_dir, workspace
+from palisade.storage import SnapshotTable, SortedRuns, _ls, materialize, shared_dir, workspace
 
 # -- storage ------------------------------------------------------------------------------------
 
@@ -36,6 +36,33 @@ def test_snapshot_table(spark):
     assert t.read().count() == 0
 
 
+def test_replaced_folders_are_removed(spark):
+    path = workspace(spark, "t")
+    t = SnapshotTable(spark, path, "v int")
+    for _ in range(5):
+        t.write(spark.range(3).select(F.col("id").alias("v")), part=F.lit("a"), replace=["a"])
+    assert t.read().count() == 3 and len(_ls(spark, f"{path}/manifest")) == 2
+    assert sum(bool(_ls(spark, d)) for d in _ls(spark, f"{path}/data")) == 2  # the current version and the one before
+
+
+def test_sorted_runs_read_what_a_lookup_needs(spark):
+    runs = SortedRuns(spark, workspace(spark, "r"), "k bigint, v string", "k", rows_per_file=100)
+    key = F.xxhash64("id")
+    look = lambda lo, hi: runs.files_of(spark.createDataFrame([(lo, hi)], "low bigint, high bigint"))
+    assert look(0, 1) == [] and runs.read().count() == 0
+    for i in range(6):  # later batches are smaller: runs stay apart or merge, nothing is lost
+        runs.add(materialize(spark.range(i * 3000, i * 3000 + 3000 // (i + 1)).select(key.alias("k"), F.col("id").cast("string").alias("v")), workspace(spark, "b")))
+    total = sum(3000 // (i + 1) for i in range(6))
+    assert runs.read().count() == total and len(runs._state()[1]["runs"]) < 6 and len(runs.files) > 50
+    for i in (0, 5, 3001, 15_010):
+        k = spark.range(i, i + 1).select(key).first()[0]
+        files = look(k, k)
+        assert len(files) <= 5 and runs._read(files).where(F.col("k") == k).count() == 1
+    assert len(look(-(1 << 63), (1 << 63) - 1)) == len(runs.files)
+    runs.add(spark.createDataFrame([], "k bigint, v string"))
+    assert runs.read().count() == total
+
+
 def test_shared_folder(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
 
