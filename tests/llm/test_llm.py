@@ -1,5 +1,6 @@
 """The operators for training text against brute force and on hard inputs."""
 
+import itertools
 import random
 
 import pytest
@@ -45,10 +46,54 @@ def test_canonical_never_fails():
             assert isinstance(history.canonical(kind, value), str)
 
 
-def test_prefix_depth():
-    assert history.prefix_depth(1.0) == 1 and history.prefix_depth(0.0) == 5
-    depths = [history.prefix_depth(r / 20) for r in range(21)]
-    assert depths == sorted(depths, reverse=True)
+def test_prefixes_widen_until_the_recall_target():
+    assert history.prefix_depth(1.0) == history.sure_depth(16) == 3 and history.prefix_depth(0.0) == history.LONGEST
+    assert history.recall_of_depth(3) == 1.0 > history.recall_of_depth(4) > history.recall_of_depth(6)
+    assert history.prefix_depth(history.recall_of_depth(4)) == 4 and history.prefix_depth(0.9999) == 3
+    for n in range(5, 17):  # the guarantee, by trying all placements
+        free = [max(b - a - 1 for a, b in zip([-1, *p], [*p, n])) for p in itertools.combinations(range(n), 4)]
+        assert min(free) == max(0, history.sure_depth(n))
+
+
+def test_recall_of_each_depth(spark):
+    """Measured against brute force: the default finds all, the longest prefix about what it promises."""
+    rng = random.Random(4)
+    kinds = history.FUZZY
+    old = [(i, kinds[i % 2], "".join(rng.choice("0123456789ABCDEF") for _ in range(rng.choice((40, 70, 96))))) for i in range(60)]
+    new = [(1000 + i, k, mutate(rng, v, rng.choice((2, 3, 4)))) for i, (_, k, v) in enumerate(old * 3)]
+    for i, (_, k, v) in enumerate(old):  # edits spread so that no four segments in a row are whole
+        q = len(v) // 16
+        new.append((2000 + i, k, "".join("#" if j in (3 * q, 7 * q, 11 * q, 15 * q) else c for j, c in enumerate(v))))
+    schema = "row_id bigint, kind string, value string"
+    want = {b for _, b in history_by_force(old + new)}
+    share = {}
+    for recall in (1.0, 0.5):
+        forest = history.HashForest(spark, workspace(spark, "f"), recall)
+        forest.accept(spark.createDataFrame(old, schema))
+        got = {r.row_id_b for r in forest.accept(spark.createDataFrame(new, schema)).collect()}
+        assert got <= want
+        share[forest.depth] = [sum(lo <= b < lo + 1000 for b in got) / sum(lo <= b < lo + 1000 for b in want) for lo in (1000, 2000)]
+    assert share[3] == [1.0, 1.0] and share[4][0] >= 0.9 > share[4][1]
+
+
+def test_a_small_batch_reads_little_of_a_large_history(spark):
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("0123456789ABCDEF") for _ in range(n))
+    schema = "row_id bigint, kind string, value string"
+    old = [(i, "domain", word(12)) for i in range(20_000)] + [(20_000 + i, "filehash-tlsh", word(70)) for i in range(10_000)]
+    forest = history.HashForest(spark, workspace(spark, "f"), rows_per_file=100)
+    forest.accept(spark.createDataFrame(old, schema))
+    exact, runs = len(forest.exact.files), len(forest.runs.files)
+    assert exact > 200 and runs > 1000
+    read = {"exact": 0, "runs": 0}
+    for name in read:
+        store = getattr(forest, name)
+        files = store.files_of
+        store.files_of = lambda ranges, files=files, name=name: read.__setitem__(name, len(found := files(ranges))) or found
+    batch = [(50_000, "domain", old[77][2]), (50_001, "filehash-tlsh", mutate(rng, old[25_000][2], 4)), (50_002, "domain", "new")]
+    got = forest.accept(spark.createDataFrame(batch, schema)).collect()
+    assert {tuple(r) for r in got} == {(77, 50_000), (25_000, 50_001)}
+    assert 0 < read["exact"] < 0.1 * exact and 0 < read["runs"] < 0.1 * runs
 
 
 def distance(a, b):
@@ -99,7 +144,6 @@ def test_history_equals_greedy_search(spark, seed):
     got = set()
     for part in (rows[:70], [], rows[70:110], rows[110:]):
         got |= {tuple(r) for r in forest.accept(spark.createDataFrame(part, "row_id bigint, kind string, value string")).collect()}
-        forest.compact()
     assert got == history_by_force(rows)
 
 
