@@ -1,9 +1,10 @@
 """Schemas that drift between files: detect each change, read all files into one table.
 
-Method: the schema of each file is a tree of JSON keys whose leaves carry a profile of
-their values. Consecutive files of a stream are compared by tree edit distance; the
-minimum-cost script of adds, deletes, renames and moves is the report, and the scripts of
-all files compile into one projection that reads every layout.
+Method: the schema of each file is a tree: JSON objects are inner nodes, other keys are leaves that
+carry a profile of their values, and properties of the file (its dataset label, the form of a time
+text) are leaves that carry their value. Consecutive files of a stream are compared by tree edit
+distance; the minimum-cost script of adds, deletes, renames, moves and relabels is the report, and
+the scripts of all files compile into one projection that reads every layout.
 
 Scale: messages are profiled partition by partition in Arrow batches and reduced to one
 row a (file, path) and one a word in it; only files that differ from their predecessor reach
@@ -19,6 +20,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import chain, count
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,6 +127,8 @@ def _profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     continue
                 entry[1][kind_of(value)] += 1
                 entry[2][json_type(value)] += 1
+                if isinstance(value, float):
+                    entry[2]["float"] += 1  # beside "number", which counts it too
                 words = entry[3]
                 before = len(words)
                 words.update(tokens_of(value))
@@ -140,7 +144,8 @@ def file_schemas(messages: DataFrame) -> DataFrame:
     """(source_file, message) → a row a (source_file, path), with kinds and json_type, and a row
     a word of its values (``word`` is null in the former), each with its count ``n``.
 
-    ``json_type`` is the type of most non-null values, null where all are null. ``forms`` has the
+    ``json_type`` is the type of most non-null values, null where all are null; in ``types``, ``float``
+    counts the numbers that are no integers once more. ``forms`` has the
     keys that make up the path, as JSON lists: a dot in it may part keys or be in one.
     """
     parts = messages.where("source_file is not null and message is not null").select("source_file", "message").mapInPandas(_profiles, _PROFILE)
@@ -200,28 +205,23 @@ def label_distance(a: str, b: str) -> float:
     return 1 - 2 * both / max(1, sum(gx.values()) + sum(gy.values()))
 
 
-def _assign(cost: list[list[float]]) -> list[int]:
+def _assign(cost: np.ndarray) -> list[int]:
     """Minimum-cost assignment of each row to a column (square matrix), by shortest augmenting paths."""
     n = len(cost)
-    u, v, way, match = [0.0] * (n + 1), [0.0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+    u, v, match = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1, dtype=int)
     for i in range(1, n + 1):
         match[0], j0 = i, 0
-        least, used = [float("inf")] * (n + 1), [False] * (n + 1)
+        least, used, way = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=bool), np.zeros(n + 1, dtype=int)
         while match[j0]:
-            used[j0], delta, j1 = True, float("inf"), 0
-            for j in range(1, n + 1):
-                if not used[j]:
-                    cur = cost[match[j0] - 1][j - 1] - u[match[j0]] - v[j]
-                    if cur < least[j]:
-                        least[j], way[j] = cur, j0
-                    if least[j] < delta:
-                        delta, j1 = least[j], j
-            for j in range(n + 1):
-                if used[j]:
-                    u[match[j]] += delta
-                    v[j] -= delta
-                else:
-                    least[j] -= delta
+            used[j0] = True
+            cur = np.append(np.inf, cost[match[j0] - 1] - u[match[j0]] - v[1:])
+            better = ~used & (cur < least)
+            least[better], way[better] = cur[better], j0
+            j1 = int(np.argmin(np.where(used, np.inf, least)))
+            delta = least[j1]
+            u[match[used]] += delta
+            v[used] -= delta
+            least[~used] -= delta
             j0 = j1
         while j0:
             match[j0] = match[way[j0]]
@@ -232,66 +232,157 @@ def _assign(cost: list[list[float]]) -> list[int]:
     return out
 
 
+def _pairs(gone: list, come: list, cost: Callable, delete: Callable, add: Callable) -> tuple[float, list[tuple]]:
+    """The cheapest way to turn ``gone`` into ``come``: its cost, and what becomes what."""
+    n = len(gone) + len(come)
+    table = np.zeros((n, n))
+    for i in range(n):
+        for j in range(n):
+            if i < len(gone):
+                table[i, j] = cost(gone[i], come[j]) if j < len(come) else delete(gone[i])
+            elif j < len(come):
+                table[i, j] = add(come[j])
+    total, out = 0.0, []
+    for i, j in enumerate(_assign(table)):
+        total += table[i, j]
+        if i < len(gone) and j < len(come) and table[i, j] < delete(gone[i]) + add(come[j]):
+            out.append((gone[i], come[j]))
+    return total, out
+
+
 DELETE = ADD = 1.0
 VALUE_WEIGHT, LABEL_WEIGHT, MOVE_WEIGHT = 2.6, 0.4, 0.2
 
 
+class Tree:
+    """The nodes of a set of dotted paths: ``children`` of each inner node and its number of leaves."""
+
+    def __init__(self, paths: list[str]):
+        self.leaves = set(paths)
+        self.children: dict[str, list[str]] = {"": []}
+        self.size: Counter = Counter()
+        for path in sorted(paths):
+            self.size[path] += 1
+            node = path
+            while node:
+                up = node.rpartition(".")[0]
+                new = up not in self.children
+                self.children.setdefault(up, [])
+                if node not in self.children[up]:
+                    self.children[up].append(node)
+                self.size[up] += 1
+                node = up if new or up else ""
+
+    def inner(self, node: str) -> list[str]:
+        return [c for c in self.children.get(node, []) if c in self.children]
+
+
+def tree_distance(old: Tree, new: Tree, leaf: Callable[[str, str], float]) -> tuple[float, dict[str, str]]:
+    """Edit distance of two unordered trees, and which inner node corresponds to which.
+
+    Constrained edit distance: children of nodes that correspond are matched at minimum cost, a
+    node may be put in or taken out between a parent and its children, and subtrees that stay
+    unmatched are deleted or added leaf by leaf.
+    """
+    known: dict[tuple[str, str], tuple[float, list]] = {}
+
+    def distance(a: str, b: str) -> tuple[float, list]:
+        if (a, b) in known:
+            return known[a, b]
+        known[a, b] = (float("inf"), [])
+        inside = lambda x, y: old.size[a] * DELETE + new.size[b] * ADD - old.size[x] * DELETE - new.size[y] * ADD + MOVE_WEIGHT
+        ways = []
+        if a in old.children and b in new.children:
+            relabel = 0.0 if a == b else MOVE_WEIGHT
+            cost, matched = _pairs(old.children[a], new.children[b], lambda x, y: distance(x, y)[0], lambda x: old.size[x] * DELETE, lambda y: new.size[y] * ADD)
+            ways.append((cost + relabel, [(a, b), *matched]))
+        elif a in old.leaves and b in new.leaves:
+            ways.append((leaf(a, b), []))
+        ways += [(distance(a, y)[0] + inside(a, y), [(a, y)]) for y in new.children.get(b, [])]
+        ways += [(distance(x, b)[0] + inside(x, b), [(x, b)]) for x in old.children.get(a, [])]
+        known[a, b] = min(ways, key=lambda w: w[0], default=(float("inf"), []))
+        return known[a, b]
+
+    total, todo = distance("", "")
+    same: dict[str, str] = {}
+    todo = list(todo)
+    while todo:
+        a, b = todo.pop()
+        if a in same:
+            continue
+        cost, below = known.get((a, b), (0.0, []))
+        if below[:1] == [(a, b)] and a in old.children and b in new.children:
+            same[a] = b
+            todo += below[1:]
+        else:
+            todo += [p for p in below if p != (a, b)]
+    return total, same
+
+
 def tree_edit_script(
-    old: dict[str, dict], new: dict[str, dict], strange: Callable[[str, str], float] | None = None
+    old: dict[str, dict], new: dict[str, dict], strange: Callable[[str, str], float] | None = None, kept: dict[str, tuple[dict, dict]] | None = None
 ) -> list[tuple[str, str, str]]:
     """Minimum-cost script between the trees of the paths ``old`` and ``new``.
 
     Values are profiles; ``strange`` gives what the words of two paths say, where the profiles
-    have none. Operations: ("delete", path, ""), ("add", path, ""), ("rename", path,
-    new_path) for another key under the same parent, ("move", path, new_path) for another
-    parent. Equal paths cost nothing and drop out. A relabelled leaf costs its value distance,
-    label distance and, once a pair of parents, the move; where that is dearer than a delete
-    and an add, these stand. Subtrees whose parents correspond share the cost of the move.
+    have none. Paths in both trees are in ``kept``, with both profiles. Operations: ("delete",
+    path, ""), ("add", path, ""), ("rename", path, new_path) for another key under the same or the
+    corresponding parent, ("move", path, new_path) for another parent, ("retype", path, "") where the
+    type of a leaf differs, and ("relabel", path, value) for the value of a property. A matched
+    leaf costs its value distance, label distance and the move, which leaves of one parent that go
+    to one other share; where that is dearer than a delete and an add, these stand.
     """
     gone, come = sorted(set(old) - set(new)), sorted(set(new) - set(old))
-    n = len(gone) + len(come)
-    if not n:
-        return []
     parent = lambda p: p.rpartition(".")[0]
-    shared = Counter((parent(a), parent(b)) for a in gone for b in come if a.rpartition(".")[2] == b.rpartition(".")[2])
-    cost = [[0.0] * n for _ in range(n)]
-    for i in range(n):
-        for j in range(n):
-            if i < len(gone) and j < len(come):
-                a, b = gone[i], come[j]
-                move = 0.0 if parent(a) == parent(b) else MOVE_WEIGHT / max(1, shared[parent(a), parent(b)])
-                label = label_distance(a.rpartition(".")[2], b.rpartition(".")[2])
-                cost[i][j] = VALUE_WEIGHT * value_distance(old[a], new[b], strange and strange(a, b)) + LABEL_WEIGHT * label + move
-            elif i < len(gone):
-                cost[i][j] = DELETE
-            elif j < len(come):
-                cost[i][j] = ADD
-    script = []
-    matched = set()
-    for i, j in enumerate(_assign(cost)):
-        if i < len(gone):
-            if j < len(come) and cost[i][j] < DELETE + ADD:
-                matched.add(j)
-                script.append(("rename" if parent(gone[i]) == parent(come[j]) else "move", gone[i], come[j]))
-            else:
-                script.append(("delete", gone[i], ""))
-    return script + [("add", b, "") for j, b in enumerate(come) if j not in matched]
+    leaf_costs: dict[tuple[str, str], float] = {}
+
+    def leaf(a: str, b: str) -> float:
+        if (a, b) not in leaf_costs:
+            label = label_distance(a.rpartition(".")[2], b.rpartition(".")[2])
+            leaf_costs[a, b] = VALUE_WEIGHT * value_distance(old[a], new[b], strange and strange(a, b)) + LABEL_WEIGHT * label
+        return leaf_costs[a, b]
+
+    script: list[tuple[str, str, str]] = []
+    if gone or come:
+        same = tree_distance(Tree(gone), Tree(come), leaf)[1] if gone and come else {}
+        shared = Counter((parent(a), parent(b)) for a in gone for b in come if a.rpartition(".")[2] == b.rpartition(".")[2])
+
+        def cost(a: str, b: str) -> float:
+            at, to = parent(a), parent(b)
+            return leaf(a, b) + (0.0 if at == to else MOVE_WEIGHT / max(1, shared[at, to]))
+
+        _, matched = _pairs(gone, come, cost, lambda a: DELETE, lambda b: ADD)
+        became = dict(matched)
+        for a in gone:
+            b = became.get(a)
+            if b is None:
+                script.append(("delete", a, ""))
+                continue
+            script.append(("rename" if same.get(parent(a), parent(a)) == parent(b) else "move", a, b))
+            was, now = old[a].get("type"), new[b].get("type")
+            if was and now and was != now:
+                script.append(("retype", b, ""))
+        script += [("add", b, "") for b in come if b not in became.values()]
+    for path, (was, now) in (kept or {}).items():
+        if was["type"] and now["type"] and was["type"] != now["type"]:
+            script.append(("relabel", path, now["type"]) if now.get("node") == "label" else ("retype", path, ""))
+    return script
 
 
 def _dict(value: object) -> dict:
     return dict(value) if value is not None else {}
 
 
-_CHANGE = "source_file string, field string, change string, new_field string"
-_REPORT = {"delete": "removed", "add": "added", "rename": "renamed", "move": "renamed"}
+_CHANGE = "src string, source_file string, field string, change string, new_field string"
+_REPORT = {"delete": "removed", "add": "added", "rename": "renamed", "move": "renamed", "retype": "retyped", "relabel": "renamed"}
 
 
 def _script_of_file(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One file's differing paths → its report. ``side`` is 'old', 'new' or 'both'; or 'words-old' or
+    """One file's differing nodes → its report. ``side`` is 'old', 'new' or 'both'; or 'words-old' or
     'words-new' with a path's repeated words ``x`` and all words ``y``; or 'met' with the repeated words of
     ``path`` that ``other`` has (``x``), and the other way round (``y``)."""
-    profile = lambda r: {"kinds": _dict(r.kinds), "type": r.json_type, "last": r.last_type}
-    sides: dict[str, dict] = {"old": {}, "new": {}, "both": {}}
+    sides: dict[str, dict] = {"old": {}, "new": {}}
+    kept: list[tuple[str, dict, dict]] = []
     mass: dict[tuple, tuple[float, float]] = {}
     met: dict[tuple, tuple[float, float]] = {}
     for r in pdf.itertuples():
@@ -299,24 +390,21 @@ def _script_of_file(pdf: pd.DataFrame) -> pd.DataFrame:
             met[r.path, r.other] = r.x, r.y
         elif r.side.startswith("words-"):
             mass[r.side[6:], r.path] = r.x, r.y
+        elif r.side == "both":
+            kept.append((r.path, {"type": r.last_type}, {"type": r.json_type, "node": r.node}))
         else:
-            sides[r.side][r.path] = profile(r)
+            sides[r.side][r.path] = {"kinds": _dict(r.kinds), "type": r.json_type}
 
     def strange(a: str, b: str) -> float:
         x, y = met.get((a, b), (0, 0))
         return max(strangeness(x, *mass.get(("old", a), (0, 0))), strangeness(y, *mass.get(("new", b), (0, 0))))
 
-    rows = []
-    for op, path, new in tree_edit_script(sides["old"], sides["new"], strange):
-        rows.append((path, _REPORT[op], new))
-        was, now = sides["old"].get(path), sides["new"].get(new)
-        if now and was and was["type"] and now["type"] and was["type"] != now["type"]:
-            rows.append((new, "retyped", ""))
-    for path, p in sides["both"].items():
-        if p["type"] and p["last"] and p["type"] != p["last"]:
-            rows.append((path, "retyped", ""))
-    out = pd.DataFrame(rows, columns=["field", "change", "new_field"])
+    script = tree_edit_script(sides["old"], sides["new"], strange)
+    for path, was, now in kept:  # a property may be called like a key
+        script += tree_edit_script({}, {}, kept={path: (was, now)})
+    out = pd.DataFrame([(path, _REPORT[op], new) for op, path, new in script], columns=["field", "change", "new_field"])
     out.insert(0, "source_file", pdf["source_file"].iloc[0])
+    out.insert(0, "src", pdf["src"].iloc[0])
     return out
 
 
@@ -325,13 +413,44 @@ def stream_of(file: Column) -> Column:
     return F.regexp_extract(file, r"^(.*)/[^/]*$", 1)
 
 
-def message_changes(schemas: DataFrame) -> DataFrame:
-    """Changes of the message layouts, from the rows of :func:`file_schemas`.
+def property_nodes(rows: DataFrame, file: str, value: Column, name: str, node: str) -> DataFrame:
+    """A property of each file as a node of its tree: the value of most rows that have one.
 
-    A file without a readable message has no schema and is passed over: the next file is
-    compared with the last one that has. The last known type and values of a path hold over
-    files where it is present with nulls only; a rename hands them on to the new path.
+    ``node`` is ``label`` (its changes are renames to the new value) or ``form`` (retypes).
+    Returns (source_file, path, json_type, node); files without a value have no row.
     """
+    counts = rows.where(F.col(file).isNotNull() & value.isNotNull()).groupBy(F.col(file).alias("source_file"), value.alias("_v")).count()
+    of_file = counts.groupBy("source_file").agg(F.max(F.struct("count", "_v"))["_v"].alias("json_type"))
+    return of_file.select("source_file", F.lit(name).alias("path"), "json_type", F.lit(node).alias("node"))
+
+
+def message_changes(schemas: DataFrame | None, properties: DataFrame | None = None, src: str = "") -> DataFrame:
+    """(src, source_file, field, change, new_field): the edit script of each file of a source.
+
+    ``schemas`` has the rows of :func:`file_schemas`, ``properties`` those of
+    :func:`property_nodes`; either may be None. A file without a readable message has no schema
+    and is passed over: the next file is compared with the last one that has. The last known
+    type and values of a path hold over files where it is present with nulls only; a rename
+    hands them on to the new path. A property is compared with its last known value.
+    """
+    groups = None
+    if schemas is not None:
+        groups = _differing(schemas)
+    if properties is not None:
+        before = F.lag("json_type").over(Window.partitionBy(stream_of(F.col("source_file")), "path").orderBy("source_file"))
+        other = properties.withColumn("last_type", before).where("json_type <> last_type").withColumn("side", F.lit("both"))
+        groups = other if groups is None else groups.unionByName(other, allowMissingColumns=True)
+    spark = groups.sparkSession
+    empty = spark.createDataFrame([], "source_file string, side string, path string, other string, node string, kinds map<string,bigint>, json_type string, last_type string, x bigint, y bigint")
+    groups = empty.unionByName(groups, allowMissingColumns=True).withColumn("src", F.lit(src))
+    # a group is one file's differing paths and pairs of them: bounded by the width of a schema. The number of
+    # partitions is given, since these few rows are much work and would else be put into one task
+    groups = groups.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "source_file")
+    return groups.groupBy("source_file").applyInPandas(_script_of_file, _CHANGE)
+
+
+def _differing(schemas: DataFrame) -> DataFrame:
+    """The nodes of each file that its predecessor has not, or not alike, with what tells them apart."""
     rows = schemas.where("word is null").drop("word").withColumn("stream", stream_of(F.col("source_file")))
     files = rows.select("stream", "source_file").distinct()
     by_file = Window.partitionBy("stream").orderBy("source_file")
@@ -367,24 +486,8 @@ def message_changes(schemas: DataFrame) -> DataFrame:
     side = lambda which, path, count: words.where(F.col("side") == which).select("source_file", "word", F.col("path").alias(path), again.alias(count))
     met = side("old", "path", "x").join(side("new", "other", "y"), ["source_file", "word"]).groupBy("source_file", "path", "other")
     met = met.agg(F.sum("x").alias("x"), F.sum("y").alias("y")).withColumn("side", F.lit("met"))
-    # a group is one file's differing paths and pairs of them: bounded by the width of a schema
-    groups = sides.unionByName(other).drop("words_of").unionByName(mass, allowMissingColumns=True).unionByName(met, allowMissingColumns=True)
-    return groups.groupBy("source_file").applyInPandas(_script_of_file, _CHANGE)
-
-
-def label_changes(rows: DataFrame, file: str, label: Column, field: str, change: str) -> DataFrame:
-    """Changes of a per-file property: the value of most rows, against the last known one.
-
-    ``change`` is ``renamed`` (``new_field`` is the new value) or ``retyped``.
-    """
-    counts = rows.where(F.col(file).isNotNull() & label.isNotNull()).groupBy(F.col(file).alias("source_file"), label.alias("label")).count()
-    of_file = counts.groupBy("source_file").agg(F.max(F.struct("count", "label"))["label"].alias("label"))
-    before = F.lag("label").over(Window.partitionBy(stream_of(F.col("source_file"))).orderBy("source_file"))
-    changed = of_file.withColumn("before", before).where("before <> label")
-    return changed.select(
-        "source_file", F.lit(field).alias("field"), F.lit(change).alias("change"),
-        (F.col("label") if change == "renamed" else F.lit("")).alias("new_field"),
-    )
+    out = sides.unionByName(other).drop("words_of").withColumn("node", F.lit("key"))
+    return out.unionByName(mass, allowMissingColumns=True).unionByName(met, allowMissingColumns=True)
 
 
 def text_form(ts: Column) -> Column:
@@ -432,7 +535,7 @@ def path_groups(schemas: DataFrame, changes: DataFrame) -> dict[str, str]:
     """
     rows = schemas.where("word is null")
     widths = {r.path: r["count"] for r in rows.groupBy("path").count().collect()}
-    links = changes.where("change = 'renamed' and field <> 'dataset'").groupBy("field", "new_field").count().collect()
+    links = changes.where("change = 'renamed'").groupBy("field", "new_field").count().collect()
     linked = schemas.sparkSession.createDataFrame([(p,) for p in sorted({p for r in links for p in (r.field, r.new_field)})], "path string")
     sets = rows.join(F.broadcast(linked), "path").groupBy("source_file").agg(F.sort_array(F.collect_set("path")).alias("paths")).select("paths").distinct().collect()
     together: dict[str, set[str]] = {}
@@ -460,6 +563,18 @@ def _read(value: Column, keys: list[str], read_as: str) -> Column:
     return F.try_variant_get(value, "$" + "".join(f"['{k}']" for k in keys), read_as)
 
 
+def read_as(types: set[str]) -> str:
+    """The column type that holds all values of these JSON types (of any message, not of most)."""
+    sorts = {t for t in types if not t.startswith(("num1", "float"))}
+    if sorts == {"number"}:
+        if "float" in types:  # long integers among fractions would lose digits as double
+            return "variant" if any(t.startswith("num1") for t in types) else "double"
+        return "decimal(38,0)" if "num19" in types else "bigint"
+    if sorts == {"array"}:
+        return "array<variant>"
+    return next(iter(sorts)) if len(sorts) == 1 else "string"
+
+
 class Projection:
     """The scripts compiled: a map from path to column for each file, and the type of each column."""
 
@@ -468,35 +583,35 @@ class Projection:
 
     @classmethod
     def compile(cls, schemas: DataFrame, changes: DataFrame) -> Projection:
-        """Each file's map follows from the scripts of its stream up to it.
+        """Each file's map follows from the scripts of its stream up to it: ``changes`` of keys, not of properties.
 
         The columns of different streams are the same where their paths are, or are linked by a
         rename in any stream and never stand in one file (:func:`path_groups`).
         """
-        changes = materialize(changes, workspace(schemas.sparkSession, "changes"))
-        rows = schemas.where("word is null").select("source_file", "path", "json_type", "forms").withColumn("stream", stream_of(F.col("source_file")))
+        changes = materialize(changes.drop("src"), workspace(schemas.sparkSession, "changes"))
+        rows = schemas.where("word is null").select("source_file", "path", F.map_keys("types").alias("types"), F.map_keys("kinds").alias("kinds"), "forms")
+        rows = rows.withColumn("stream", stream_of(F.col("source_file")))
         files = rows.select("stream", "source_file").distinct()
         first = files.groupBy("stream").agg(F.min("source_file").alias("source_file"))
         start = rows.join(first, ["stream", "source_file"]).select("stream", "source_file", F.col("path").alias("field"), F.lit("added").alias("change"), F.lit("").alias("new_field"))
-        scripts = changes.where("change <> 'retyped' and field <> 'dataset'").withColumn("stream", stream_of(F.col("source_file"))).unionByName(start)
+        scripts = changes.where("change <> 'retyped'").withColumn("stream", stream_of(F.col("source_file"))).unionByName(start)
         # a group is the scripts of one stream, never its messages
         changed = scripts.groupBy("stream").applyInPandas(_maps_of_stream(path_groups(schemas, changes)), _MAP)
         order = Window.partitionBy("stream").orderBy("source_file")
         maps = files.join(changed, "source_file", "left").select("source_file", F.last("layout", ignorenulls=True).over(order).alias("layout"))
         maps = materialize(maps, workspace(schemas.sparkSession, "layouts"))
-        read_as = {"number": "double", "boolean": "boolean", "string": "string", "array": "array<string>"}
         forms: dict[str, list[list[str]]] = {}
         for r in rows.select("path", F.explode(F.map_keys("forms")).alias("form")).distinct().orderBy("form").collect():
             forms.setdefault(r.path, []).append(json.loads(r.form))
-        pairs = rows.join(maps, "source_file").groupBy("path", F.col("layout")[F.col("path")].alias("name")).agg(F.collect_set("json_type").alias("types")).collect()
+        sorts = F.array_distinct(F.flatten(F.collect_set(F.concat("types", F.filter("kinds", lambda k: k.rlike("^num1[6-9]$"))))))
+        pairs = rows.join(maps, "source_file").groupBy("path", F.col("layout")[F.col("path")].alias("name")).agg(sorts.alias("types")).collect()
         columns = Counter(r.path for r in pairs)
         fields: dict[str, list[tuple[str, bool]]] = {}
         kinds: dict[str, set[str]] = {}
         for r in sorted(pairs, key=lambda r: (r.name, r.path)):
             fields.setdefault(r.name, []).append((r.path, columns[r.path] > 1))
             kinds.setdefault(r.name, set()).update(r.types)
-        types = {name: read_as[next(iter(k))] if len(k) == 1 else "string" for name, k in kinds.items()}
-        return cls(fields, types, forms, maps)
+        return cls(fields, {name: read_as(k) for name, k in kinds.items()}, forms, maps)
 
     def apply(self, df: DataFrame, message: str = "message", file: str = "source_file") -> DataFrame:
         """``df`` with one struct ``record`` of all fields; null for unreadable messages."""

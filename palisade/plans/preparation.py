@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from palisade.operators.delivery import DeliveryStore, message_id
 from palisade.operators.kslack import KSlack
 from palisade.operators.loglines import log_entries, mine_templates, parse_lines, tokenize_lines
-from palisade.operators.schema_drift import Projection, file_schemas, label_changes, message_changes, text_form
+from palisade.operators.schema_drift import Projection, file_schemas, message_changes, property_nodes, text_form
 from palisade.operators.sessions import SessionTable, clean_key, slots
 from palisade.operators.timestamps import USUAL, TimeDictionary, with_sensor_zone
 from palisade.storage import materialize, workspace
@@ -31,26 +31,26 @@ def bounds(df: DataFrame, column: Column) -> tuple[int, int]:
     return (0, 0) if low is None else (low, high)
 
 
-def _drift(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    intel = table(spark, sf_dir, "threatintel")
-    schemas = materialize(file_schemas(intel), workspace(spark, "schemas"))
-    return intel, schemas, message_changes(schemas)
+def _ts_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return property_nodes(table(spark, sf_dir, "zeek_conn"), "log_file", text_form(F.col("ts")), "ts", "form")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Layout changes between consecutive files of each stream."""
-    intel, _, changes = _drift(spark, sf_dir)
-    labels = label_changes(intel, "source_file", F.col("dataset"), "dataset", "renamed")
-    ts = label_changes(table(spark, sf_dir, "zeek_conn"), "log_file", text_form(F.col("ts")), "ts", "retyped")
-    intel_changes = changes.unionByName(labels).select(F.lit("threatintel").alias("src"), "*")
-    return intel_changes.unionByName(ts.select(F.lit("zeek_conn").alias("src"), "*")).distinct()
+    """Layout changes between consecutive files of each stream, from their trees' edit scripts."""
+    intel = table(spark, sf_dir, "threatintel")
+    schemas = materialize(file_schemas(intel), workspace(spark, "schemas"))
+    labels = property_nodes(intel, "source_file", F.col("dataset"), "dataset", "label")
+    return message_changes(schemas, labels, "threatintel").unionByName(message_changes(None, _ts_forms(spark, sf_dir), "zeek_conn")).distinct()
 
 
 def p1_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message read into one table by the compiled edit scripts."""
-    intel, schemas, changes = _drift(spark, sf_dir)
-    wide = Projection.compile(schemas, changes).apply(intel.select("row_id", "source_file", "message"))
-    return wide.select("row_id", F.to_json("record").alias("record"))
+    """Every message and every Zeek record in one table: messages read by the compiled edit scripts."""
+    intel = table(spark, sf_dir, "threatintel")
+    schemas = materialize(file_schemas(intel), workspace(spark, "schemas"))
+    wide = Projection.compile(schemas, message_changes(schemas)).apply(intel.select("row_id", "source_file", "message"))
+    conn = table(spark, sf_dir, "zeek_conn")
+    zeek = conn.select(F.lit("zeek_conn").alias("src"), F.lit(None).cast("bigint").alias("row_id"), F.col("log_file").alias("source_file"), F.to_json(F.struct("*")).alias("record"))
+    return wide.select(F.lit("threatintel").alias("src"), "row_id", "source_file", F.to_json("record").alias("record")).unionByName(zeek)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +173,7 @@ def p7_zeek_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_zeek_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Form of the time text in each Zeek log file against the file before."""
-    return label_changes(table(spark, sf_dir, "zeek_conn"), "log_file", text_form(F.col("ts")), "ts", "retyped")
+    return message_changes(None, _ts_forms(spark, sf_dir)).drop("src")
 
 
 QUERIES = {"p1_found": p1_found, "p1_unified": p1_unified, "p2_found": p2_found, "p4_found": p4_found, "p5_found": p5_found, "p6_found": p6_found, "p7_found": p7_found, "p1_zeek_ts": p1_zeek_ts, "p7_zeek_hours": p7_zeek_hours}
