@@ -2,9 +2,10 @@
 
 A text is cut at blank lines into units. Within a unit every mark that may end a sentence is
 a candidate boundary; a segmentation is a path over candidates, and each step of the path is
-a whole sentence span. A span is scored as a whole: its length, its opening word, its
-closing word and mark, and whether its quotations and brackets are balanced. The best path
-is found by dynamic programming over spans of any length.
+a whole sentence span. A span's score is the sum of what its opening word says, what its
+closing word and mark say, its length in words (very short spans are rare, the more so where
+the closing word may be an abbreviation) and a penalty for each quotation or bracket that it
+cuts. The best path is found by dynamic programming over spans of any length.
 """
 
 from __future__ import annotations
@@ -62,7 +63,6 @@ _CAND = re.compile(
     rf"(?:[{_SPACES}]+(?P<late>[»›]))?"
     rf"|(?<=[{_THAI}])(?P<thai>[\t{_SPACES}{chr(0x3000)}]+)(?=[{_THAI}])"
 )
-_WORD_BEFORE = re.compile(r"\S+$")
 _SPACE = re.compile(r"\s*")
 _TOKEN = re.compile(r"\S+")
 
@@ -140,19 +140,39 @@ def _case(token: str) -> str:
     return "other"
 
 
+#: what a span's opening word says, by its case
+OPENING_SCORES = {"upper": 1.0, "other": 1.0, "mark": 0.5, "tech": 0.0, "digit": 0.0, "lower": -1.0}
+#: what a span's length says, in words (a letter of a script without blanks is one): by set weights
+LENGTH_SCORES = {1: -0.75, 2: -0.25}
+#: and where the closing word may be an abbreviation ('The U.S.') or a list number ('1.')
+SHORT_SCORE = -6.0
+CUT_SCORE = -10.0  # a quotation or bracket that goes on beyond the span
+SURE = 3.0  # a boundary of this score stands whatever the lengths of the spans beside it
+
+
 class _Candidate:
-    __slots__ = ("end", "start", "score", "short", "lead")
+    """A possible boundary: ``score`` is what the word and mark before it (``close``) and the word
+    after it (``open``) say together. ``short`` and ``lead``: no end if the span has two words, or one."""
+
+    __slots__ = ("end", "start", "score", "short", "lead", "open")
 
     def __init__(self, end: int, start: int, score: float, short: bool = False, lead: bool = False):
         self.end, self.start, self.score, self.short, self.lead = end, start, score, short, lead
+        self.open = 0.0
+
+    @property
+    def close(self) -> float:
+        return self.score - self.open
 
 
 def _last_word(text: str, stop: int) -> tuple[str, int]:
-    """The word that ends at or, over blanks, before ``stop``, and its start; long ones are cut."""
+    """The word that ends at or, over blanks, before ``stop``, and its start."""
     while stop and text[stop - 1].isspace():
         stop -= 1
-    m = _WORD_BEFORE.search(text, max(0, stop - 80), stop)
-    return (m[0], m.start()) if m else ("", stop)
+    start = stop
+    while start and not text[start - 1].isspace():
+        start -= 1
+    return text[start:stop], start
 
 
 def _abbreviation(text: str, stop: int) -> tuple[str, str, int]:
@@ -178,7 +198,20 @@ def _blank_between(text: str, start: int, stop: int) -> bool:
     return stop <= start
 
 
-def _score(text: str, m: re.Match, since: int) -> _Candidate | None:
+class _Letters:
+    """Letters and Greek letters up to each place of a unit, counted once where they are asked for."""
+
+    def __init__(self, text: str):
+        self.text, self.counts = text, None
+
+    def between(self, start: int, stop: int) -> tuple[int, int]:
+        if self.counts is None:
+            greek = lambda c: 0x370 <= ord(c) <= 0x3FF or 0x1F00 <= ord(c) <= 0x1FFF
+            self.counts = [[0, *accumulate(c.isalpha() for c in self.text)], [0, *accumulate(c.isalpha() and greek(c) for c in self.text)]]
+        return self.counts[0][stop] - self.counts[0][start], self.counts[1][stop] - self.counts[1][start]
+
+
+def _score(text: str, m: re.Match, since: int, letters_of: _Letters) -> _Candidate | None:
     """A candidate boundary with its score, or None where the mark can't end a sentence."""
     if m["thai"]:
         return _Candidate(m.start(), m.end(), 4.0)
@@ -199,9 +232,8 @@ def _score(text: str, m: re.Match, since: int) -> _Candidate | None:
     case = _case(nxt)
     quoted = any(c in QUOTE_CLOSERS for c in close)
     if m["greek"]:
-        letters = [c for c in text[max(since, m.start() - 200) : m.start()] if c.isalpha()]
-        greek = sum(0x370 <= ord(c) <= 0x3FF or 0x1F00 <= ord(c) <= 0x1FFF for c in letters)
-        if m["greek"] != GREEK_QUESTION and greek < 0.25 * max(1, len(letters)) or not letters:
+        letters, greek = letters_of.between(min(since, m.start()), m.start())
+        if m["greek"] != GREEK_QUESTION and greek < 0.25 * letters or not letters:
             return None
         if not close:
             return _Candidate(end, after, 3.0)
@@ -258,56 +290,75 @@ def _score(text: str, m: re.Match, since: int) -> _Candidate | None:
     return _Candidate(end, after, 3.0)
 
 
-def _unit(text: str) -> list[tuple[int, int]]:
-    """Best segmentation of a unit without outer white space; offsets within it."""
-    cands: list[_Candidate] = []
-    since = 0
+_LENGTH_UNIT = re.compile("[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff\u0e01-\u0e7f]|[^\\s\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff\u0e01-\u0e7f]+")
+
+
+def _candidates(text: str) -> list[_Candidate]:
+    out: list[_Candidate] = []
+    since, letters = 0, _Letters(text)
     for m in _CAND.finditer(text):
-        c = _score(text, m, since)
+        c = _score(text, m, since, letters)
         if c is None:
             continue
         if c.end >= len(text):
             break
-        cands.append(c)
+        word = _TOKEN.match(text, c.start)
+        c.open = OPENING_SCORES[_case(word[0])] if word and not m["thai"] else 0.0
+        out.append(c)
         if c.score > 0:
             since = c.start
+    return out
+
+
+def _unit(text: str) -> list[tuple[int, int]]:
+    """Best segmentation of a unit without outer white space; offsets within it.
+
+    Node j is the boundary after candidate j - 1, node 0 the unit's start, node n + 1 its end. The
+    score of a span from node i to node j is ``open(i) + close(j) + length(i, j) + cut(j)``. Length
+    counts for spans of one or two words only, so for each j the nodes before are weighed in three
+    groups, of which the two near ones are looked through and of the far one only the best counts:
+    exact, and linear in the number of nodes.
+    """
+    cands = _candidates(text)
     if not cands:
         return [(0, len(text))]
     # cut[k]: matched pairs a boundary at candidate k would split
+    n = len(cands)
     ends = [c.end for c in cands]
-    steps = [0] * (len(cands) + 1)
+    steps = [0] * (n + 1)
     for a, b in _pairs(text):
         steps[bisect_right(ends, a)] += 1
         steps[bisect_right(ends, b)] -= 1
     cut = list(accumulate(steps))
-    n = len(cands)
     starts = [0, *(c.start for c in cands)]
-    runs = [m.span() for m in _TOKEN.finditer(text)] if any(c.short or c.lead for c in cands) else []
-    opens = [a for a, _ in runs]
-    # top[i]: the node with the best path up to node i, the first among equals. A span's score depends on
-    # where it starts only if it has one or two words, so these two groups of starts are all there is to weigh
-    best, back, top = [0.0] * (n + 2), [0] * (n + 2), [0] * (n + 2)
-    for j in range(1, n + 2):  # node j: boundary after candidate j - 1; node n + 1: the unit's end
-        i, base = top[j - 1], 0.0
-        if j <= n:
-            c = cands[j - 1]
-            base = c.score - 10.0 * cut[j - 1]
-            if c.short or c.lead:
-                # length and closing word together: 'The U.S.' or '1.' is no sentence
-                limit = 2 if c.short else 1
-                k = bisect_left(opens, c.end) - 1 - limit
-                near = bisect_left(starts, runs[k][1], 0, j) if k >= 0 else 0  # starts from here on leave so few words
-                if near and best[top[near - 1]] >= best[i] - 6.0:
-                    i = top[near - 1]
-                elif i >= near:
-                    base -= 6.0
-        best[j], back[j] = best[i] + base, i
-        top[j] = j if best[j] > best[top[j - 1]] else top[j - 1]
+    net = [c.score + CUT_SCORE * x for c, x in zip(cands, cut)]
+    if all(x >= SURE or x <= 0 for x in net) and not any(c.short or c.lead for c in cands):
+        used = [k for k, x in enumerate(net) if x > 0]  # lengths can't turn a sure boundary
+        return list(zip([0, *(starts[k + 1] for k in used)], [*(ends[k] for k in used), len(text)]))
+    words = [m.start() for m in _LENGTH_UNIT.finditer(text)]
+    opens = [0.0, *(c.open for c in cands)]
+    best, back, top = [0.0] * (n + 2), [0] * (n + 2), [0] * (n + 2)  # top[i]: the best node up to i, the first among equals
+    for j in range(1, n + 2):
+        end = ends[j - 1] if j <= n else len(text)
+        close, limit = (cands[j - 1].close + CUT_SCORE * cut[j - 1], 2 if cands[j - 1].short else 1 if cands[j - 1].lead else 0) if j <= n else (0.0, 0)
+        last = bisect_left(words, end)  # words before the span's end
+        near = j
+        while near and last - bisect_left(words, starts[near - 1]) <= 2:
+            near -= 1
+        found = (best[top[near - 1]] + opens[top[near - 1]], top[near - 1]) if near else (float("-inf"), 0)
+        for i in range(near, j):
+            size = max(1, last - bisect_left(words, starts[i]))
+            value = best[i] + opens[i] + LENGTH_SCORES[size] + (SHORT_SCORE if size <= limit else 0.0)
+            if value > found[0]:
+                found = (value, i)
+        best[j], back[j] = found[0] + close, found[1]
+        far = top[j - 1]
+        top[j] = j if j <= n and best[j] + opens[j] > best[far] + opens[far] else far
     out = []
     j = n + 1
     while j:
         i = back[j]
-        out.append((starts[i], len(text) if j == n + 1 else cands[j - 1].end))
+        out.append((starts[i], len(text) if j == n + 1 else ends[j - 1]))
         j = i
     return out[::-1]
 

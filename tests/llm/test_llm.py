@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from palisade.llm import encoding, history, leakage
+from palisade.llm import sentences as sentence_module
 from palisade.llm.sentences import sentences, split_sentences
 from palisade.storage import workspace
 
@@ -325,3 +326,50 @@ def test_split_frame(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, sent_start int")
     assert sorted(tuple(r) for r in split_sentences(df).collect()) == [(1, 0, 6), (1, 0, 6), (1, 7, 13), (1, 7, 13)]
     assert split_sentences(df.where("false")).count() == 0
+
+
+def by_all_segmentations(text):
+    """The best path by trying every set of candidates, with the documented span score."""
+    cands = sentence_module._candidates(text)
+    pairs = sentence_module._pairs(text)
+    words = [m.start() for m in sentence_module._LENGTH_UNIT.finditer(text)]
+    best = None
+    for used in itertools.chain.from_iterable(itertools.combinations(range(len(cands)), k) for k in range(len(cands) + 1)):
+        nodes = [(0, 0.0), *((cands[k].start, cands[k].open) for k in used)]
+        ends = [*((cands[k].end, cands[k]) for k in used), (len(text), None)]
+        total = 0.0
+        for (start, opening), (end, c) in zip(nodes, ends):
+            size = max(1, sum(start <= w < end for w in words))
+            total += opening + sentence_module.LENGTH_SCORES.get(size, 0.0)
+            if c:
+                total += c.close + sentence_module.CUT_SCORE * sum(a < end <= b for a, b in pairs)
+                total += sentence_module.SHORT_SCORE if size <= (2 if c.short else 1 if c.lead else 0) else 0.0
+        if best is None or total > best[0] + 1e-9:
+            best = (total, [(s, e) for (s, _), (e, _) in zip(nodes, ends)])
+    return best
+
+
+SPAN_TEXTS = [
+    "We counted 1500. the U.S. Agents came.", "The U.S. Army left. It was late.", "See Fig. 3. No. 4 is new. Yes.", "Wait... what? He said (e.g. no. 3) it. Done!",
+    "1. First. 2. Second point. 3. third", "Z. B. Herr Dr. K. Meier kam am 3. Mai. Danach ging er.", "A b. c d. E f.", "他说。「好。」我走。 Ok. fine.", "a.b.c. In. the. End. Of.",
+]
+
+
+@pytest.mark.parametrize("text", SPAN_TEXTS)
+def test_best_path_equals_trying_all(text):
+    got = sentence_module._unit(text)
+    score, want = by_all_segmentations(text)
+    assert got == want
+
+
+def test_the_search_decides_where_a_left_to_right_pass_errs():
+    """The weak end after 1500 would leave 'the U.S.' too short to end, so the later end is taken."""
+    text = "We counted 1500. the U.S. Agents came."
+    assert [text[a:b] for a, b in sentences(text)] == ["We counted 1500. the U.S.", "Agents came."]
+
+
+def test_no_limit_on_words_and_marks():
+    inner = " ".join(f"p. {i}." for i in range(150))
+    assert len(sentences(f"He read ({inner}) and left. Then it rained.")) == 2
+    assert len(sentences(f"{'x' * 300}. Next one.")) == 2
+    assert len(sentences("α" * 40 + " " + "x" * 100 + " " + "β" * 80 + "; Ναι.")) == 2
