@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from palisade.storage import SnapshotTable
+from palisade.storage import SnapshotTable, materialize, workspace
 
 GAP_US = 30 * 60 * 1_000_000
 _DAY_US = 86_400 * 1_000_000
@@ -55,17 +55,45 @@ def coalesce_intervals(intervals: DataFrame, gap_us: int = GAP_US) -> DataFrame:
 
 
 class SessionTable:
-    """Stored sessions, partitioned by the UTC day of their end.
+    """Stored sessions, partitioned by the UTC day of their end and ``buckets`` of hosts.
 
     ``merge(events)`` takes (host, ts_us) rows, one per event; the caller removes duplicate
     deliveries first. Silence of exactly ``gap_us`` does not split. Null hosts and times are
-    left out, an empty batch changes nothing, simultaneous events count each.
+    left out, an empty batch changes nothing, simultaneous events count each. A batch replaces
+    only the partitions that hold a session it bridges or extends: a late event touches the
+    sessions of its host around its time, not all that came since.
     """
 
     SCHEMA = "host string, start_us bigint, end_us bigint, n_events bigint"
 
-    def __init__(self, spark: SparkSession, path: str, gap_us: int = GAP_US):
-        self.table, self.gap_us = SnapshotTable(spark, path, self.SCHEMA), gap_us
+    def __init__(self, spark: SparkSession, path: str, gap_us: int = GAP_US, buckets: int = 4):
+        self.spark, self.table, self.gap_us, self.buckets = spark, SnapshotTable(spark, path, self.SCHEMA), gap_us, buckets
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("host"), F.lit(self.buckets)).cast("string")
+
+    def _part(self) -> Column:
+        return F.concat_ws("_", F.floor(F.col("end_us") / F.lit(_DAY_US)).cast("string"), self._bucket())
+
+    def _touched(self, local: DataFrame) -> list[str]:
+        """Partitions with a session within the gap of one of the batch's sessions of its host."""
+        days = local.select(
+            self._bucket().alias("bucket"), F.floor((F.col("start_us") - self.gap_us) / F.lit(_DAY_US)).alias("first"), F.floor((F.col("end_us") + self.gap_us) / F.lit(_DAY_US)).alias("last")
+        )
+        reach: dict[str, list[tuple[int, int]]] = {}
+        for r in days.distinct().collect():  # at most a few rows a day and bucket
+            reach.setdefault(r.bucket, []).append((r.first, r.last))
+        near = []
+        for part, low in self.table.lows().items():
+            day, bucket = part.split("_")
+            if any(int(day) >= first and low // _DAY_US <= last for first, last in reach.get(bucket, [])):
+                near.append(part)
+        if not near:
+            return []
+        own = local.select("host", F.col("start_us").alias("_from"), F.col("end_us").alias("_to"))
+        stored = self.table.read(near).withColumn("_p", self._part())
+        met = stored.join(own, "host").where((F.col("end_us") >= F.col("_from") - self.gap_us) & (F.col("start_us") <= F.col("_to") + self.gap_us))
+        return [r[0] for r in met.select("_p").distinct().collect()]  # at most one row a partition
 
     def merge(self, events: DataFrame, epoch: int | None = None) -> None:
         """``epoch``, the number of a micro-batch, makes a repeated delivery of it a no-op."""
@@ -75,17 +103,14 @@ class SessionTable:
         """As ``merge``, for events already folded by :func:`slots`."""
         if epoch is not None and epoch <= self.table.meta.get("epoch", -1):
             return
-        local = coalesce_intervals(batch, self.gap_us)
-        low = batch.agg(F.min("start_us")).first()[0]
-        if low is None:
+        local = materialize(coalesce_intervals(batch, self.gap_us), workspace(self.spark, "local-sessions"))
+        if local.isEmpty():
             return
-        # a stored session that ends before this day is out of reach of every session of the batch
-        first_day = (low - self.gap_us) // _DAY_US
-        touched = [p for p in self.table.partitions if int(p) >= first_day]
+        # stored sessions lie more than the gap apart, so what a batch's session does not meet directly stays
+        touched = self._touched(local) if self.table.partitions else []
         if touched:
             local = coalesce_intervals(self.table.read(touched).unionByName(local), self.gap_us)
-        day = F.floor(F.col("end_us") / F.lit(_DAY_US))
-        self.table.write(local, part=day, replace=touched, meta={} if epoch is None else {"epoch": epoch})
+        self.table.write(local, part=self._part(), replace=touched, meta={} if epoch is None else {"epoch": epoch}, low="start_us")
 
     def sessions(self) -> DataFrame:
         return self.table.read()

@@ -97,9 +97,13 @@ def _drop(spark: SparkSession, paths: set[str]) -> None:
         fs.delete(p, True)
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` once and read it back: cuts lineage, survives lost executors."""
-    df.write.mode("overwrite").parquet(path)
+def materialize(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once and read it back: cuts lineage, survives lost executors.
+
+    ``by`` names a column of few values, of which later reads take one at a time.
+    """
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -154,7 +158,7 @@ class SnapshotTable(_Versioned):
     the snapshot, e.g. a watermark, so that state and data never disagree.
     """
 
-    EMPTY = {"parts": {}, "meta": {}}
+    EMPTY = {"parts": {}, "lows": {}, "meta": {}}
 
     def _dirs(self, state: dict) -> set[str]:
         return {d for dirs in state["parts"].values() for d in dirs}
@@ -179,17 +183,20 @@ class SnapshotTable(_Versioned):
         meta: dict | None = None,
         spread: Column | None = None,
         sort: list[str] | None = None,
+        low: str | None = None,
     ) -> None:
         """Add the rows of ``df``; ``replace`` lists partitions whose old rows go.
 
         ``part`` gives each row's partition value. ``spread`` (a column that varies within
         a partition) distributes rows so that one large partition is written by many tasks.
         ``sort`` orders the rows of each file, for narrow row groups in later range searches.
+        ``low`` names a number column whose smallest value in each partition :meth:`lows` knows.
         """
         version, state = self._state()
         out = f"{self.path}/data/{version + 1:09d}-{uuid.uuid4().hex[:8]}"
         rows = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         parts: dict[str, list[str]] = {k: v for k, v in state["parts"].items() if k not in (replace or [])}
+        lows: dict[str, int] = state["lows"]
         if part is None:
             rows.write.parquet(out)
             parts.setdefault("all", []).append(out)
@@ -200,11 +207,19 @@ class SnapshotTable(_Versioned):
             if sort:
                 rows = rows.sortWithinPartitions(_PART, *sort)
             rows.write.partitionBy(_PART).parquet(out)
-            for d in _ls(self.spark, out):
-                name = d.rpartition("/")[2]
-                if name.startswith(_PART + "="):
-                    parts.setdefault(name[len(_PART) + 1 :], []).append(d)
-        self._commit(version, {"parts": parts, "meta": state["meta"] | (meta or {})})
+            written = {d.rpartition("/")[2][len(_PART) + 1 :]: d for d in _ls(self.spark, out) if f"/{_PART}=" in d}
+            for name, d in written.items():
+                parts.setdefault(name, []).append(d)
+            if low and written:  # one row a written partition
+                found = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(_PART, T.StringType())])).parquet(out).groupBy(_PART).agg(F.min(low).alias("low"))
+                lows |= {written[r[_PART]]: r.low for r in found.collect()}
+        kept = {d for dirs in parts.values() for d in dirs}
+        self._commit(version, {"parts": parts, "lows": {d: v for d, v in lows.items() if d in kept}, "meta": state["meta"] | (meta or {})})
+
+    def lows(self) -> dict[str, int]:
+        """The smallest ``low`` value in each partition."""
+        state = self._state()[1]
+        return {k: min(state["lows"][d] for d in dirs) for k, dirs in state["parts"].items()}
 
 
 class SortedRuns(_Versioned):
