@@ -1,11 +1,13 @@
 """Messages delivered more than once: keep exactly one copy of each.
 
-Method: every time bucket of accepted identifiers has a Bloom filter. A batch's identifiers
-are tested against the filters; what no filter knows is definitely new and never touches
-history. A possible repeat is verified exactly, and only against the storage of the buckets
-whose filters answered. The filters are blocked (one identifier's bits lie in one 32,768-bit
-block) and are rows of a table, so building, testing and merging them are plain joins and
-aggregates in the JVM, and no filter has to fit on the driver or be broadcast.
+Method: every time bucket of accepted identifiers has Bloom filters, one a batch that brought some,
+sized by the number it brought. A batch's identifiers are tested against the filters; what no
+filter knows is definitely new and never touches history. A possible repeat is verified exactly,
+and only against the storage of the buckets whose filters answered. The filters are blocked (one
+identifier's bits lie in one 32,768-bit block) and are rows of a table, so building and testing
+them are plain joins and aggregates in the JVM, and no filter has to fit on the driver or be
+broadcast. Filters have a power of two of blocks; a test joins on the block in the filters of each
+such size, and small filters are repeated over ``WAYS`` keys, so that they are tested by many tasks.
 
 A later batch may bring an earlier copy; it then takes the place of the accepted one.
 """
@@ -18,7 +20,8 @@ from pyspark.sql import functions as F
 from palisade.storage import SnapshotTable, materialize, workspace
 
 BLOCK_BITS = 32_768  # the bitmap functions work on bitmaps of this size
-HASHES = 5
+HASHES = 8
+WAYS = 64
 
 
 def message_id(message: Column) -> Column:
@@ -26,8 +29,9 @@ def message_id(message: Column) -> Column:
     return F.unhex(F.sha2(message, 256))
 
 
-def _block(blocks: int) -> Column:
-    return F.pmod(F.xxhash64("id"), F.lit(blocks))
+def _block(blocks: Column) -> Column:
+    """The identifier's block of ``blocks``, a power of two: of twice as many it is this one or this one + ``blocks``."""
+    return F.xxhash64("id").bitwiseAND(blocks - 1)
 
 
 def _bit(i: int) -> Column:
@@ -50,29 +54,34 @@ class DeliveryStore:
     returns the row_ids to drop: of each identifier all copies but the earliest by
     (at_us, row_id). If the batch supersedes a stored copy, that copy's row_id is returned
     too, and may be so again by later batches with the same identifier. Rows with a null id are ignored (they all stay). A null at_us counts as latest.
-    An empty batch returns no row; the same batch again returns the same rows. ``ids_per_bucket`` only sizes the filters: beyond it more
-    identifiers need the exact check, results do not change.
+    An empty batch returns no row; the same batch again returns the same rows. ``bits_per_id`` sets
+    how many new identifiers need the exact check all the same, about one in 7,000 a filter.
     """
 
     IDS = "id binary, at_us bigint, row_id bigint, bucket string"
-    BLOOMS = "bucket string, block bigint, bitmap binary"
+    BLOOMS = "bucket string, blocks bigint, block bigint, bitmap binary"
     LATEST = 1 << 62
 
-    def __init__(self, spark: SparkSession, path: str, ids_per_bucket: int = 200_000, bits_per_id: int = 10):
-        self.spark, self.path = spark, path
-        self.blocks = max(1, -(-ids_per_bucket * bits_per_id // BLOCK_BITS))
+    def __init__(self, spark: SparkSession, path: str, bits_per_id: int = 20):
+        self.spark, self.path, self.bits_per_id = spark, path, bits_per_id
         self.ids = SnapshotTable(spark, f"{path}/ids", self.IDS)
         self.blooms = SnapshotTable(spark, f"{path}/blooms", self.BLOOMS)
 
+    def _bitmaps(self, dated: DataFrame) -> DataFrame:
+        """The filters of a batch, one for each bucket it brings identifiers to."""
+        need = F.greatest(F.lit(1.0), F.count(F.lit(1)) * self.bits_per_id / F.lit(BLOCK_BITS))
+        sizes = dated.groupBy("bucket").agg(F.pow(F.lit(2.0), F.ceil(F.log2(need))).cast("bigint").alias("blocks"))
+        bits = dated.join(sizes, "bucket").select("bucket", "blocks", _block(F.col("blocks")).alias("block"), F.explode(F.array(*map(_bit, range(HASHES)))).alias("bit"))
+        return bits.groupBy("bucket", "blocks", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+
     def _screen(self, ids: DataFrame) -> DataFrame:
-        """(id, bucket) for each bucket whose filter may hold the id."""
-        filters = self.blooms.read().groupBy("bucket", "block").agg(F.expr("bitmap_or_agg(bitmap)").alias("bitmap"))
-        return (
-            ids.select("id", _block(self.blocks).alias("block"))
-            .join(filters, "block")
-            .where(_has_bits(F.col("bitmap")))
-            .select("id", "bucket")
-        )
+        """(id, bucket) for each bucket with a filter that may hold the id."""
+        ways = F.greatest(F.col("blocks"), F.lit(WAYS))
+        filters = self.blooms.read().select("bucket", "bitmap", ways.alias("ways"), F.explode(F.sequence("block", ways - 1, F.col("blocks"))).alias("key"))
+        sizes = [r[0] for r in self.blooms.read().select(ways).distinct().collect()]  # powers of two
+        tests = ids.select("id", F.explode(F.array(*map(F.lit, sizes)).cast("array<bigint>")).alias("ways"))
+        tests = tests.withColumn("key", _block(F.col("ways")))
+        return tests.join(filters, ["ways", "key"]).where(_has_bits(F.col("bitmap"))).select("id", "bucket").distinct()
 
     def _stored(self, ids: DataFrame) -> DataFrame:
         """(id, at_us, row_id): every stored copy of the ids."""
@@ -97,10 +106,9 @@ class DeliveryStore:
         new = new.select("id", "k.*")
         day = F.to_date(F.timestamp_micros(F.least("at_us", F.lit(253_402_300_799_000_000)))).cast("string")
         dated = new.withColumn("bucket", day)
-        bits = dated.select("bucket", _block(self.blocks).alias("block"), F.explode(F.array(*map(_bit, range(HASHES)))).alias("bit"))
-        bitmaps = bits.groupBy("bucket", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+        dated = materialize(dated, workspace(self.spark, "new-ids"))
         # Filters first: an identifier is never stored without its bits, whatever fails in between.
-        self.blooms.write(bitmaps, part=F.col("bucket"))
+        self.blooms.write(self._bitmaps(dated), part=F.col("bucket"))
         self.ids.write(dated, part=F.col("bucket"), spread=F.col("id"))
         # row_id is unique, so these joins are even however often one message was delivered. A batch
         # that comes again finds its own rows stored, and the keepers among them stay.
