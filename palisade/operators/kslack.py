@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.storage import SnapshotTable
+from palisade.storage import SnapshotTable, materialize, workspace
 
 HOUR_US = 3_600_000_000
 FIRST_US = 600_000_000
@@ -58,7 +58,8 @@ def _fold(period_us: int, first_us: int):
 class KSlack:
     """Per-period aggregates by event time, corrected as late events arrive.
 
-    ``push(batch)`` takes (src, id, event_us, arrived_us) rows in arrival order of batches;
+    ``push(batch)`` takes (src, id, event_us, arrived_us) rows in arrival order of batches; it
+    reads the batch twice, for the latest arrival and for the rows.
     ``finals()`` has a row for each released period: n_first (arrived at most ``first_us``
     after the period's end), n_final (at most ``k_us`` after it), first and last event and the
     longest silence within the period. ``provisional()`` has n_first and the count so far of
@@ -95,6 +96,8 @@ class KSlack:
             in_time = batch.where((F.col("arrived_us") <= bound) & (bound >= closed))
             held = held.unionByName(in_time.select("src", "id", "event_us", "arrived_us"))
             held = held.groupBy("src", "id", "event_us").agg(F.min("arrived_us").alias("arrived_us"))
+        # written once: it is sampled for the order, released and buffered
+        held = materialize(held, workspace(self.spark, "held"))
         done = bound < mark
         # If the driver fails between the two commits, the buffer still holds what was released,
         # and the watermark committed with the release keeps it from counting again.

@@ -150,9 +150,11 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = zeek.unionByName(cloud)
     low, high = bounds(table(spark, sf_dir, "zeek_conn").select("ingest_time").unionByName(trail.select("ingest_time")), F.unix_micros("ingest_time"))
+    # the times are read once, and each push reads its own batch
+    rows = materialize(rows.withColumn("batch", batch_of(F.col("arrived_us"), low, high)), workspace(spark, "arrivals"), "batch")
     slack = KSlack(spark, workspace(spark, "kslack"))
     for b in range(BATCHES):
-        slack.push(rows.where(batch_of(F.col("arrived_us"), low, high) == b))
+        slack.push(rows.where(F.col("batch") == b))
     slack.close()
     late = slack.finals().where("n_final > n_first")
     return late.select("src", (F.col("hour_start") / 1_000_000).cast("bigint").alias("hour_start"), "n_first", "n_final")
