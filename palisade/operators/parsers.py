@@ -12,6 +12,7 @@ from palisade.sources.schemas import ENVELOPE
 REQUEST_PATTERN = r"(\w+) (\S+) (.+)"
 ACCESS_TIME = "dd/MMM/yyyy:HH:mm:ss Z"
 SEPARATOR = chr(1)
+_GROUPS = (1, 3, 4, 5, 6, 7, 8, 9)
 
 
 def parse_access(df: DataFrame, line: str = "value") -> DataFrame:
@@ -21,11 +22,14 @@ def parse_access(df: DataFrame, line: str = "value") -> DataFrame:
     others; so has a line with an empty quoted field, which does not match as a whole. A size
     of ``-`` and an unreadable time are null. A null line gives nulls.
     """
-    # The pattern is matched once a line: it is replaced by its groups, which are then split. A
-    # line that does not match stays as it is and so lacks the leading separator.
-    joined = F.regexp_replace(F.col(line), ACCESS_PATTERN, SEPARATOR + SEPARATOR.join(f"${i}" for i in (1, 3, 4, 5, 6, 7, 8, 9)))
-    hit = joined.startswith(SEPARATOR) & ~F.col(line).startswith(SEPARATOR)
-    parts = df.withColumn("_g", F.when(hit, F.split(joined, SEPARATOR)).when(F.col(line).isNotNull(), F.array_repeat(F.lit(""), 9)))
+    # The pattern is matched once a line: it is replaced by its groups, which are then split. A line that
+    # does not match stays as it is and so lacks the leading separator. Lines that hold the separator
+    # themselves, which are rare, have their groups taken one by one.
+    joined = F.regexp_replace(F.col(line), ACCESS_PATTERN, SEPARATOR + SEPARATOR.join(f"${i}" for i in _GROUPS))
+    holds = F.col(line).contains(SEPARATOR)
+    singly = F.array(F.lit(""), *(F.regexp_extract(F.col(line), ACCESS_PATTERN, i) for i in _GROUPS))
+    groups = F.when(holds, singly).when(joined.startswith(SEPARATOR), F.split(joined, SEPARATOR)).when(F.col(line).isNotNull(), F.array_repeat(F.lit(""), 9))
+    parts = df.withColumn("_g", groups)
     group = lambda i: F.col("_g")[i]
     parts = parts.withColumns(
         {

@@ -226,3 +226,14 @@ def test_flow_names_are_unique(spark, tmp_path):
     run.add(Flow("a", "t", lambda s: None))
     with pytest.raises(ValueError):
         run.add(Flow("a", "u", lambda s: None))
+
+
+def test_access_lines_with_control_characters(spark):
+    """The byte that the parser puts between groups may stand in a line as well."""
+    from palisade.operators import parsers
+
+    c = chr(1)
+    lines = [f'1.2.3.4 - u{c}z [04/May/2025:16:05:05 +0000] "GET /a{c}b HTTP/1.1" 200 5 "r{c}" "ag{c}ent"', f"{c}junk", f'{c} - u [x] "GET / HTTP/1.1" 200 5 "r" "a"']
+    got = parsers.parse_access(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert (got[0].host, got[0].user, got[0].path, got[0].code, got[0].referrer, got[0].agent) == ("1.2.3.4", f"u{c}z", f"/a{c}b", 200, f"r{c}", f"ag{c}ent")
+    assert (got[1].host, got[1].code, got[1].agent) == ("", None, "") and (got[2].host, got[2].user, got[2].agent) == (c, "u", "a")
