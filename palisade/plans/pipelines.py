@@ -217,12 +217,12 @@ HTTP_VERBS = ["GET", "post", "Put", "", "BREW", "connect", "delete", "HEAD", "op
 
 
 def community_id_flows(spark: SparkSession, d: str) -> DataFrame:
-    """Both directions of each flow have one id; the id itself is tested against the specification's vectors."""
-    conn = _conn(spark, d)
-    code = protocols.proto_name_to_code(F.col("proto"))
-    a, p, b, q = (F.col(c) for c in ("id_origin_host", "id_origin_port", "id_response_host", "id_response_port"))
-    there, back = community_id.community_id_hash(a, p, b, q, code), community_id.community_id_hash(b, q, a, p, code)
-    return conn.select("uid", there.alias("community_id"), (there == back).alias("same"))
+    """The id of each flow and whether the reverse flow has the same one."""
+    ends = ["id_origin_host", "id_origin_port", "id_response_host", "id_response_port"]
+    conn = _conn(spark, d).select("uid", *ends, protocols.proto_name_to_code(F.col("proto")).alias("code"))
+    rows = community_id.with_community_id(conn, *ends, F.col("code"))
+    rows = community_id.with_community_id(rows, *ends[2:], *ends[:2], F.col("code"), "back")
+    return rows.select("uid", "community_id", (F.col("community_id") == F.col("back")).alias("same"))
 
 
 QUERIES = {

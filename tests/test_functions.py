@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from palisade.functions import ocsf, protocols
-from palisade.functions.community_id import community_id, community_id_hash, compare_with_baseline
+from palisade.functions.community_id import community_id, community_id_hash, compare_with_baseline, with_community_id
 from palisade.functions.register import register_all
 
 
@@ -67,6 +67,8 @@ def test_community_id_symmetry_and_nulls(spark):
     df = spark.createDataFrame(rows, "a string, p int, b string, q int, proto int")
     got = [r.x for r in df.select(community_id_hash(*(F.col(c) for c in ("a", "p", "b", "q", "proto"))).alias("x")).collect()]
     assert got == [community_id(*r) for r in rows]
+    staged = with_community_id(df.withColumn("_src", F.lit(1)), "a", "p", "b", "q", F.col("proto"), "proto_id")
+    assert [r.proto_id for r in staged.collect()] == got and staged.columns == [*df.columns, "_src", "proto_id"]
     assert got[0] == got[1] and got[2] == got[3] and got[4] and got[5:] == [None] * 4
 
 
