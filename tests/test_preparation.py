@@ -238,6 +238,19 @@ def test_repeated_micro_batch_counts_once(spark):
     assert [r.n_events for r in table.sessions().collect()] == [4]
 
 
+def test_a_late_event_replaces_few_partitions(spark):
+    day = 86_400 * 1_000_000
+    table = SessionTable(spark, workspace(spark, "s"))
+    table.merge(spark.range(365 * 6).select(F.concat(F.lit("h"), F.col("id") % 6).alias("host"), (F.floor(F.col("id") / 6) * day + 5 * GAP_US).alias("ts_us")))
+    before = table.table._state()[1]["parts"]
+    table.merge(spark.createDataFrame([("h3", 9 * day + 4 * GAP_US), ("h3", 200 * day + 40 * GAP_US)], "host string, ts_us bigint"))
+    after = table.table._state()[1]["parts"]
+    assert len(before) > 600 and sum(before[k] != after.get(k) for k in before) <= 2
+    assert sum(bool(set(d) - set(after.get(k, []))) for k, d in before.items()) == 1  # replaced: the session it extends
+    got = {tuple(r) for r in table.sessions().where("host = 'h3'").collect()}
+    assert len(got) == 366 and ("h3", 9 * day + 4 * GAP_US, 9 * day + 5 * GAP_US, 2) in got and table.sessions().count() == 365 * 6 + 1
+
+
 def test_session_edges(spark):
     table = SessionTable(spark, workspace(spark, "s"))
     rows = [("h", 0), ("h", GAP_US), ("h", 2 * GAP_US + 1), (None, 5), ("n", None), ("h", 0)]
@@ -325,7 +338,7 @@ def test_one_copy_stays(spark, seed):
     rng = random.Random(seed)
     texts = [None, "", "x" * 100_000, *(f"m{i}" for i in range(20))] + ["hot"] * 10
     rows = [(i, rng.choice(texts), rng.randrange(5) * 86_400_000_000 + rng.choice((0, 5)), b) for i, b in enumerate(sorted(rng.randrange(4) for _ in range(150)))]
-    store = DeliveryStore(spark, workspace(spark, "d"), ids_per_bucket=rng.choice((1, 1000)))
+    store = DeliveryStore(spark, workspace(spark, "d"), bits_per_id=rng.choice((1, 20)))
     dropped = set()
     for b in range(5):
         part = spark.createDataFrame([r[:3] for r in rows if r[3] == b], "row_id bigint, message string, at bigint")
@@ -341,6 +354,19 @@ def test_one_copy_stays(spark, seed):
     assert dropped == {i for i, m, at, _ in rows if m is not None and best[m] != (at, i)}
 
 
+def test_filters_grow_with_their_buckets(spark):
+    """A bucket with ten times the identifiers screens as well; no filter is filled by what comes later."""
+    store = DeliveryStore(spark, workspace(spark, "d"))
+    day = 86_400 * 1_000_000
+    rows = lambda a, b: spark.range(a, b).select(message_id(F.col("id").cast("string")).alias("id"), (F.col("id") % 11 * F.when(F.col("id") % 11 < 10, 0).otherwise(day)).alias("at_us"), F.col("id").alias("row_id"))
+    for a, b in ((0, 2000), (2000, 60_000), (60_000, 62_000)):
+        store.accept(rows(a, b))
+    assert store.blooms.read().agg(F.max("blocks")).first()[0] >= 32
+    fresh = rows(100_000, 110_000)
+    assert store._screen(fresh).select("id").distinct().count() < 0.02 * 10_000
+    assert store._screen(rows(1000, 3000)).select("id").distinct().count() == 2000
+
+
 def test_delivery_of_nothing_and_null_times(spark):
     store = DeliveryStore(spark, workspace(spark, "d"))
     df = lambda *rows: spark.createDataFrame(list(rows), "id binary, at_us bigint, row_id bigint")
