@@ -5,8 +5,11 @@ document leaks an item if it holds all of one window, in order. Windows are sets
 shingles (5 words, or 8 letters) that must all be present, so a window needs only its rarest
 shingle as prefix: the shingles of every window are ordered by their frequency in the whole
 corpus, documents are joined on the rarest one, the match's position must leave room for
-the rest of the window on both sides, and the aligned stretch of the document is compared
-shingle by shingle and at last text by text.
+the rest of the window on both sides, and the window that the document has at that place is
+compared with the item's, text by text.
+
+The corpus is read once. What is kept of it are the places of the items' shingles, each with
+the window of text that begins there, so texts are neither shuffled nor read again.
 """
 
 from __future__ import annotations
@@ -21,12 +24,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from palisade.operators.skew import spread_join
 from palisade.storage import materialize, workspace
 
 WORDS, LETTERS = 10, 20
 WORD_SHINGLE, LETTER_SHINGLE = 5, 8
-#: shingles of held-out items up to this number are shared with the tasks (8 bytes each);
-#: a larger set stays distributed and is joined
+#: shingles of held-out items up to this number are shared with the tasks (8 bytes each) to
+#: keep other places of the corpus from being written; the join that follows needs no such help
 SHARED_LIMIT = 2_000_000
 
 _RUN = re.compile(r"[^\W_]+")
@@ -48,15 +52,16 @@ def _id(tokens: list[str] | str) -> int:
     return xxhash.xxh64_intdigest(tokens if isinstance(tokens, str) else "\x1f".join(tokens)) - (1 << 63)
 
 
-def shingles(kind: str, words: list[str]) -> Iterator[tuple[int, int]]:
-    """(position, shingle) of a text's words: kind ``w`` words, kind ``c`` letters of the joined words."""
+def shingles(kind: str, words: list[str]) -> Iterator[tuple[int, int, str | None]]:
+    """(position, shingle, window) of a text's words: kind ``w`` words, kind ``c`` letters of the
+    joined words. The window begins with the shingle; None where the text ends before it."""
     if kind == "c":
         joined, n = "".join(words), LETTER_SHINGLE
         for i in range(len(joined) - n + 1):
-            yield i, _id(joined[i : i + n])
+            yield i, _id(joined[i : i + n]), joined[i : i + LETTERS] if i + LETTERS <= len(joined) else None
     else:
         for i in range(len(words) - WORD_SHINGLE + 1):
-            yield i, _id(words[i : i + WORD_SHINGLE])
+            yield i, _id(words[i : i + WORD_SHINGLE]), " ".join(words[i : i + WORDS]) if i + WORDS <= len(words) else None
 
 
 def kind_of(lang: str | None) -> str:
@@ -64,7 +69,7 @@ def kind_of(lang: str | None) -> str:
     return "c" if (lang or "").strip().lower().partition("-")[0] == "zh" else "w"
 
 
-_ITEM = "item_id bigint, kind string, pos bigint, shingle bigint"
+_ITEM = "item_id bigint, kind string, pos bigint, shingle bigint, window string"
 
 
 def _item_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -72,24 +77,24 @@ def _item_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for item, lang, text in zip(pdf["item_id"], pdf["lang"], pdf["text"]):
             kind = kind_of(lang)
-            rows += [(item, kind, p, s) for p, s in shingles(kind, words_of(text))]
-        yield pd.DataFrame(rows, columns=["item_id", "kind", "pos", "shingle"])
+            rows += [(item, kind, p, s, w) for p, s, w in shingles(kind, words_of(text))]
+        yield pd.DataFrame(rows, columns=["item_id", "kind", "pos", "shingle", "window"])
 
 
-_DOC = "doc_id bigint, kind string, at bigint, shingle bigint"
+_DOC = "doc_id bigint, kind string, at bigint, shingle bigint, window string"
 
 
-def _known_shingles(kind: str, words: list[str], tokens: frozenset[str] | None) -> Iterator[tuple[int, int]]:
-    """As :func:`shingles`, only those whose tokens are all in ``tokens``: others can't be an item's."""
-    if tokens is None:
-        yield from shingles(kind, words)
-        return
-    sequence, n = ("".join(words), LETTER_SHINGLE) if kind == "c" else (words, WORD_SHINGLE)
+def _known_shingles(kind: str, words: list[str], wanted: frozenset[int], tokens: frozenset[str]) -> Iterator[tuple[int, int, str | None]]:
+    """As :func:`shingles`, only the ``wanted`` ones; those with a token not in ``tokens`` are not even hashed."""
+    sequence, n, width = ("".join(words), LETTER_SHINGLE, LETTERS) if kind == "c" else (words, WORD_SHINGLE, WORDS)
     run = 0
     for i, token in enumerate(sequence):
         run = run + 1 if token in tokens else 0
         if run >= n:
-            yield i - n + 1, _id(sequence[i - n + 1 : i + 1])
+            at = i - n + 1
+            if (s := _id(sequence[at : i + 1])) in wanted:
+                window = sequence[at : at + width]
+                yield at, s, (window if kind == "c" else " ".join(window)) if len(window) == width else None
 
 
 def _doc_shingles(kinds: list[str], wanted: frozenset[int] | None, tokens: dict[str, frozenset[str]]):
@@ -101,35 +106,19 @@ def _doc_shingles(kinds: list[str], wanted: frozenset[int] | None, tokens: dict[
                     continue
                 words = words_of(text)
                 for kind in kinds:
-                    rows += [(doc, kind, p, s) for p, s in _known_shingles(kind, words, tokens.get(kind)) if wanted is None or s in wanted]
-            yield pd.DataFrame(rows, columns=["doc_id", "kind", "at", "shingle"])
+                    found = shingles(kind, words) if wanted is None else _known_shingles(kind, words, wanted, tokens[kind])
+                    rows += [(doc, kind, p, s, w) for p, s, w in found]
+            yield pd.DataFrame(rows, columns=["doc_id", "kind", "at", "shingle", "window"])
 
     return run
 
 
-def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Exact check: the aligned stretches of both texts are the same."""
-    for pdf in batches:
-        keep = []
-        for kind, a, p, b, q in zip(pdf["kind"], pdf["doc_text"], pdf["start"], pdf["item_text"], pdf["pos"]):
-            x, y = words_of(a), words_of(b)
-            if kind == "c":
-                x, y = "".join(x), "".join(y)
-            n = LETTERS if kind == "c" else WORDS
-            keep.append(any(len(y[i : i + n]) == n and x[p : p + n] == y[i : i + n] for i in q))
-        yield pdf.loc[keep, ["doc_id", "item_id"]]
-
-
 def _item_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         found = {(k, t) for lang, text in zip(pdf["lang"], pdf["text"]) for k in [kind_of(lang)] for t in ("".join(words_of(text)) if k == "c" else words_of(text))}
         yield pd.DataFrame(sorted(found), columns=["kind", "token"])
 
 
-def _width(kind, word: int, letter: int):
-    return F.when(kind == "c", F.lit(letter)).otherwise(F.lit(word))
-
-
 def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id): documents that hold 10 consecutive words (or 20 letters) of an item.
 
@@ -154,30 +143,23 @@ def find_leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
         met = met.join(side.select("kind", "shingle").distinct(), ["kind", "shingle"], "left_semi")
     met = materialize(met, workspace(spark, "met-shingles"))
 
-    # order by rarity: the frequency of a shingle counts every document of the corpus
-    frequency = met.groupBy("kind", "shingle").agg(F.approx_count_distinct("doc_id").alias("df"))
-    span = _width(F.col("kind"), WORDS - WORD_SHINGLE, LETTERS - LETTER_SHINGLE)
+    # order by rarity: the frequency of a shingle counts every place in the corpus
+    frequency = met.groupBy("kind", "shingle").agg(F.count(F.lit(1)).alias("df"))
     ranked = side.join(frequency, ["kind", "shingle"], "left").withColumn("df", F.coalesce("df", F.lit(0)))
     best = F.struct("df", "shingle", "pos")
     windows = None
     for kind, width in (("w", WORDS - WORD_SHINGLE), ("c", LETTERS - LETTER_SHINGLE)):
         frame = Window.partitionBy("item_id", "kind").orderBy("pos").rowsBetween(0, width)
-        w = ranked.where(F.col("kind") == kind).select(
-            "item_id", "kind", "pos", F.min(best).over(frame).alias("rare"), F.count(F.lit(1)).over(frame).alias("n"), F.min("df").over(frame).alias("least")
-        )
+        w = ranked.where(F.col("kind") == kind).select("kind", "item_id", "pos", "window", F.min(best).over(frame).alias("rare"), F.min("df").over(frame).alias("least"))
         # a shingle that no document holds ends the window: it can't be contained
-        w = w.where((F.col("n") == width + 1) & (F.col("least") > 0))
+        w = w.where((F.col("window").isNotNull()) & (F.col("least") > 0))
         windows = w if windows is None else windows.unionByName(w)
-    windows = windows.select("item_id", "kind", "pos", F.col("rare.shingle").alias("shingle"), (F.col("rare.pos") - F.col("pos")).alias("shift"))
+    shift = F.col("rare.pos") - F.col("pos")
+    windows = materialize(windows.select("item_id", "kind", F.col("window").alias("passage"), F.col("rare.shingle").alias("shingle"), shift.alias("shift")), workspace(spark, "item-windows"))
     # prefix join, then the positional bounds: the window must fit around the match
-    found = met.join(windows, ["kind", "shingle"]).withColumn("start", F.col("at") - F.col("shift")).where("start >= 0")
-    # the stretch's first and last shingle, which cover it (words) or nearly so (letters)
-    ends = side.select("item_id", "kind", F.col("pos").alias("p"), "shingle")
-    for place in (F.lit(0), span):
-        probe = found.select("doc_id", "item_id", "kind", "pos", "start", (F.col("pos") + place).alias("p"), (F.col("start") + place).alias("at")).distinct()
-        probe = probe.join(ends, ["item_id", "kind", "p"]).join(met, ["doc_id", "kind", "at", "shingle"], "left_semi")
-        found = probe.select("doc_id", "item_id", "kind", "pos", "start").distinct()
-    # the texts are read again once a pair and start, for every window whose ends match there
-    found = found.groupBy("doc_id", "item_id", "kind", "start").agg(F.collect_set("pos").alias("pos"))
-    checked = found.join(docs.withColumnRenamed("text", "doc_text"), "doc_id").join(items.select("item_id", F.col("text").alias("item_text")), "item_id")
-    return checked.select("doc_id", "item_id", "kind", "start", "pos", "doc_text", "item_text").mapInPandas(_texts, "doc_id bigint, item_id bigint").distinct()
+    places = met.select("doc_id", "kind", "at", "shingle")
+    found = spread_join(windows, places, ["kind", "shingle"], F.col("doc_id")).withColumn("start", F.col("at") - F.col("shift")).where("start >= 0")
+    found = found.select("doc_id", "item_id", "kind", "start", "passage").distinct()
+    # a window begins with one of the items' shingles, so the document's text at that place is at hand
+    there = met.where("window is not null").select("doc_id", "kind", F.col("at").alias("start"), F.col("window").alias("passage"))
+    return found.join(there, ["doc_id", "kind", "start", "passage"], "left_semi").select("doc_id", "item_id").distinct()
