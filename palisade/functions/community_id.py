@@ -55,8 +55,9 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _IPV4 = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
 
 
-def _v4_hex(ip: Column) -> Column:
-    parts = F.split(ip, r"\.")
+def _v4_hex(ip: Column, parts: Column | None = None) -> Column:
+    """8 hex digits of an IPv4 address; ``parts`` are its numbers as texts, where they are at hand."""
+    parts = F.split(ip, r"\.") if parts is None else parts
     return F.concat(*(F.lpad(F.hex(F.get(parts, F.lit(i)).try_cast("int")), 2, "0") for i in range(4)))
 
 
@@ -93,11 +94,11 @@ def _hex4(c: Column) -> Column:
     return F.lpad(F.hex(c), 4, "0")
 
 
-def _flow(src_ip: Column, src_port: Column, dst_ip: Column, dst_port: Column, proto: Column) -> dict[str, Column]:
+def _flow(src_ip: Column, src_port: Column, dst_ip: Column, dst_port: Column, proto: Column, parts: tuple[Column | None, Column | None] = (None, None)) -> dict[str, Column]:
     """Stage 1: addresses in hex digits, protocol and ports as valid numbers or null."""
     v4 = src_ip.rlike(_IPV4) & dst_ip.rlike(_IPV4)
     # versions may not be mixed: an address of the other version is null in either branch
-    src, dst = (F.when(v4, _v4_hex(ip)).otherwise(_v6_hex(ip)) for ip in (src_ip, dst_ip))
+    src, dst = (F.when(v4, _v4_hex(ip, p)).otherwise(_v6_hex(ip)) for ip, p in zip((src_ip, dst_ip), parts))
     return {"src": src, "dst": dst, "code": _number(proto, 255), "sport": _number(src_port, 65535), "dport": _number(dst_port, 65535)}
 
 
@@ -141,7 +142,10 @@ def with_community_id(df: DataFrame, src_ip: str, src_port: str, dst_ip: str, ds
     generated code. An existing column of that name is replaced."""
     kept = [c for c in df.columns if c != out]
     names = [f"_{k}" for k in ("src", "dst", "code", "sport", "dport")]
-    rows = df.select(F.struct("*").alias("_row"), *(c.alias(f"_{k}") for k, c in _flow(F.col(src_ip), F.col(src_port), F.col(dst_ip), F.col(dst_port), proto).items()))
+    given = dict(zip(("_a", "_p", "_b", "_q", "_c"), (F.col(src_ip), F.col(src_port), F.col(dst_ip), F.col(dst_port), proto)))
+    split = {f"{k}_parts": F.split(given[k], r"\.") for k in ("_a", "_b")}
+    rows = df.select(F.struct("*").alias("_row"), *(c.alias(k) for k, c in (given | split).items()))
+    rows = rows.select("_row", *(c.alias(f"_{k}") for k, c in _flow(*map(F.col, given), tuple(map(F.col, split))).items()))
     rows = rows.select("_row", *(c.alias(f"_{k}") for k, c in _ends({n[1:]: F.col(n) for n in names}).items()))
     rows = rows.select("_row", _text({k: F.col(f"_{k}") for k in ("a", "b", "code", "one_way", "size")}, use_seed).alias("_text"))
     return rows.select(*(F.col(f"_row.`{c}`") for c in kept), _digest(F.col("_text")).alias(out))
