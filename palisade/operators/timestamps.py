@@ -2,8 +2,8 @@
 
 Method: the raw strings are reduced to a dictionary of distinct (text, zone, date order),
 each entry is parsed exhaustively once, the dictionary is persisted and grows with every
-batch, and rows get their instant by a join back to it. Rows whose text is already in the
-source's usual form never reach the dictionary; they are cast in the JVM.
+batch, and rows get their instant by a join back to it. Callers may keep texts of the source's
+usual form (``USUAL``) away from the dictionary, where a cast reads them or they are not asked for.
 """
 
 from __future__ import annotations
