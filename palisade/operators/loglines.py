@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Iterator
 
@@ -117,11 +118,22 @@ def head_form(types: list[str]) -> str:
     return " ".join(t if _typed(t) or not t[:1].isalnum() else "w" for t in types[:3]) if types and _typed(types[0]) else "w"
 
 
+def _masks(types: list[str]) -> dict[str, int]:
+    """Where each token stands, as bits from the first position up; slots stand nowhere."""
+    masks: dict[str, int] = {}
+    for i, t in enumerate(types):
+        if _constant(t):
+            masks[t] = masks.get(t, 0) | 1 << i
+    return masks
+
+
 def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     """Index pairs of one longest common subsequence; slots match nothing.
 
-    Equal beginnings and ends are paired first. Middle parts of over ``LCS_CELLS`` cells stay
-    unpaired: they become one slot, which coarsens a template of very long lines and nothing else.
+    Equal beginnings and ends are paired first. Between them a row of the table of lengths, one
+    for each token of ``b``, is an integer: its bits tell which tokens of ``a`` add nothing. Some
+    rows are kept and those between computed again on the way back, so that lines of any length
+    are paired by the same rule, in memory of the length times its square root in bits.
     """
     low = min(len(a), len(b))
     start = 0
@@ -132,34 +144,38 @@ def common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
         stop += 1
     x, y = a[start : len(a) - stop], b[start : len(b) - stop]
     pairs = [(k, k) for k in range(start)]
-    if len(x) * len(y) <= LCS_CELLS:
-        length = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for i in range(len(x) - 1, -1, -1):
-            for j in range(len(y) - 1, -1, -1):
-                length[i][j] = length[i + 1][j + 1] + 1 if x[i] == y[j] and _constant(x[i]) else max(length[i + 1][j], length[i][j + 1])
-        i = j = 0
-        while i < len(x) and j < len(y):
-            if x[i] == y[j] and _constant(x[i]) and length[i][j] == length[i + 1][j + 1] + 1:
+    masks = _masks(x[::-1])
+    every = math.isqrt(len(y)) + 1
+    full = row = (1 << len(x)) - 1
+    kept = {len(y): row}
+    for j in range(len(y) - 1, -1, -1):
+        hit = row & masks.get(y[j], 0)
+        row = ((row + hit) | (row - hit)) & full
+        if j % every == 0:
+            kept[j] = row
+    i = 0
+    for j in range(0, len(y), every):
+        end = min(j + every, len(y))
+        rows = [kept[end]]
+        for t in reversed(y[j:end]):
+            hit = rows[-1] & masks.get(t, 0)
+            rows.append(((rows[-1] + hit) | (rows[-1] - hit)) & full)
+        while i < len(x) and j < end:
+            if x[i] == y[j] and _constant(x[i]):
                 pairs.append((start + i, start + j))
                 i, j = i + 1, j + 1
-            elif length[i + 1][j] >= length[i][j + 1]:
+            elif rows[end - j] >> (len(x) - 1 - i) & 1:
                 i += 1
             else:
                 j += 1
     return pairs + [(len(a) - k, len(b) - k) for k in range(stop, 0, -1)]
 
 
-LCS_CELLS = 1_000_000
-
-
 def common_length(a: list[str], b: list[str]) -> int:
     """Length of the longest common subsequence, bit by bit: linear in the longer sequence."""
     if len(a) > len(b):
         a, b = b, a
-    masks: dict[str, int] = {}
-    for i, t in enumerate(a):
-        if _constant(t):
-            masks[t] = masks.get(t, 0) | 1 << i
+    masks = _masks(a)
     full = row = (1 << len(a)) - 1
     for t in b:
         hit = row & masks.get(t, 0)

@@ -514,6 +514,30 @@ def test_merges_keep_each_field_on_its_own_token():
     assert own[lines[0]].merged(own[lines[-2]]) is None  # the program is one token further on
 
 
+def test_long_sequences_are_paired_like_short_ones():
+    """The pairs of a plain table of lengths, also beyond a million cells."""
+    rng = random.Random(6)
+    for n, m in ((0, 3), (5, 1), (40, 60), (1100, 1040)):
+        a, b = ([rng.choice("abcdefgh*?") for _ in range(k)] for k in (n, m))
+        a[:1], b[:1] = ["x"], ["y"]
+        length = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        equal = lambda i, j: a[i] == b[j] and a[i] not in "*?"
+        for i in reversed(range(len(a))):
+            for j in reversed(range(len(b))):
+                length[i][j] = length[i + 1][j + 1] + 1 if equal(i, j) else max(length[i + 1][j], length[i][j + 1])
+        pairs = loglines.common(a, b)
+        assert len(pairs) == length[0][0] == loglines.common_length(a, b)
+        assert all(equal(i, j) for i, j in pairs) and all(p < q and r < s for (p, r), (q, s) in zip(pairs, pairs[1:]))
+
+
+@pytest.mark.parametrize("words", [10, 1100])
+def test_fields_of_a_cluster_do_not_depend_on_the_length_of_its_lines(spark, words):
+    body = " ".join("w" + "".join("abcdefghij"[int(c)] for c in str(i)) for i in range(words))
+    line = lambda level, end: f"2025-07-07 10:00:00 [w] {level} a.b.C: {body} {end}"
+    rows = [("f", i, line(*(("INFO", "done") if i else ("VERBOSE", "not done"))), None, None) for i in range(20)]
+    assert parse_log(spark, rows) == [(i, i, "INFO" if i else "VERBOSE", "a.b.C", "", "") for i in range(20)]
+
+
 def test_long_lines_cluster():
     a, b = [["<time>", *(f"{k}{i}" for i in range(6000))] for k in "ab"]
     assert loglines.Template(a).merged(loglines.Template(b)).n == 2
